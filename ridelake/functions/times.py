@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 
 from ridelake.rules import HOLIDAYS, MAX_MINUTES, SEASON_MONTHS, SEASONS_TITLE
 
+# English names, from Sunday and January on.
+DAY_NAMES = (
+    "Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
+)
+MONTH_NAMES = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+
 
 def duration_minutes(start: Column, end: Column, *, fractional: bool = False) -> Column:
     """Minutes from ``start`` to ``end``: whole seconds, or exact to the microsecond."""
@@ -23,16 +32,26 @@ def capped_duration(start: Column, end: Column, limit: float = MAX_MINUTES) -> C
     return F.when((end >= start) & (minutes <= limit), minutes)
 
 
+def month_start(ts: Column) -> Column:
+    """First day of the month, as a date: what to group by before labelling."""
+    return F.trunc(F.to_date(ts), "month")
+
+
 def month_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def _name(names: tuple[str, ...], number: Column) -> Column:
+    """The ``number``-th name, without formatting every row's date as text."""
+    return F.get(F.array(*[F.lit(n) for n in names]), number - 1)
+
+
 def day_name(day: Column) -> Column:
-    return F.date_format(day, "EEEE")
+    return _name(DAY_NAMES, F.dayofweek(day))
 
 
 def month_name(day: Column) -> Column:
-    return F.date_format(day, "MMMM")
+    return _name(MONTH_NAMES, F.month(day))
 
 
 def clock_text(ts: Column) -> Column:
@@ -59,7 +78,8 @@ def is_holiday(
     day: Column, holidays: Iterable[str] = HOLIDAYS, years: Iterable[int] | None = None
 ) -> Column:
     """True on the given ``MM-dd`` days, in every year or only in ``years``."""
-    hit = F.date_format(day, "MM-dd").isin(*holidays)
+    days = [int(h[:2]) * 100 + int(h[3:]) for h in holidays]
+    hit = (F.month(day) * 100 + F.dayofmonth(day)).isin(*days)
     return hit if years is None else hit & F.year(day).isin(*years)
 
 

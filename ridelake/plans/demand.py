@@ -14,6 +14,11 @@ def _count() -> Column:
     return F.count("*").alias("trips")
 
 
+def _labelled(counts: DataFrame) -> DataFrame:
+    """Write the month of a result as text, once per result row and not per trip."""
+    return counts.withColumn("month", times.month_label(F.col("month")))
+
+
 def _average_duration(trips: DataFrame, label: str, group: Column) -> DataFrame:
     minutes = times.duration_minutes(F.col("started_at"), F.col("ended_at"), fractional=True)
     return (
@@ -25,7 +30,7 @@ def _average_duration(trips: DataFrame, label: str, group: Column) -> DataFrame:
 
 
 def average_duration_by_month(trips: DataFrame) -> DataFrame:
-    return _average_duration(trips, "month", times.month_label(F.col("started_at")))
+    return _labelled(_average_duration(trips, "month", times.month_start(F.col("started_at"))))
 
 
 def average_duration_by_day(trips: DataFrame) -> DataFrame:
@@ -33,11 +38,8 @@ def average_duration_by_day(trips: DataFrame) -> DataFrame:
 
 
 def rides_by_month_label(trips: DataFrame) -> DataFrame:
-    return (
-        trips.groupBy(times.month_label(F.col("started_at")).alias("month"))
-        .agg(_count())
-        .orderBy("month")
-    )
+    month = times.month_start(F.col("started_at"))
+    return _labelled(trips.groupBy(month.alias("month")).agg(_count()).orderBy("month"))
 
 
 def rides_by_month(trips: DataFrame) -> DataFrame:
@@ -70,18 +72,18 @@ def station_demand(trips: DataFrame, top: int = 10) -> DataFrame:
     counted = (
         trips.filter(F.col("start_station_id").isNotNull())
         .groupBy(
-            times.month_label(F.col("started_at")).alias("month"),
+            times.month_start(F.col("started_at")).alias("month"),
             F.col("start_station_id").alias("station_id"),
         )
         .agg(_count())
     )
     busiest = Window.partitionBy("month").orderBy(F.desc("trips"), F.asc("station_id"))
-    return (
+    best = (
         counted.withColumn("rank", F.row_number().over(busiest))
         .filter(F.col("rank") <= top)
         .orderBy("month", "rank")
-        .select("month", "station_id", "trips")
     )
+    return _labelled(best.select("month", "station_id", "trips"))
 
 
 def station_imbalance(trips: DataFrame, *, keep_unknown: bool = True) -> DataFrame:
@@ -92,7 +94,7 @@ def station_imbalance(trips: DataFrame, *, keep_unknown: bool = True) -> DataFra
     ``keep_unknown`` a missing station keeps one row per direction, as NULL keys
     never meet in that join.
     """
-    month = times.month_label(F.col("started_at"))
+    month = times.month_start(F.col("started_at"))
     moves = trips.select(
         month.alias("month"),
         F.explode(
@@ -107,15 +109,15 @@ def station_imbalance(trips: DataFrame, *, keep_unknown: bool = True) -> DataFra
     if not keep_unknown:
         moves = moves.filter(F.col("station_id").isNotNull())
     one_sided = F.when(F.col("station_id").isNull() | F.col("month").isNull(), F.col("departs"))
-    return (
+    flows = (
         moves.groupBy("month", "station_id", one_sided.alias("side"))
         .agg(
             F.count_if(~F.col("departs")).alias("inflow"),
             F.count_if(F.col("departs")).alias("outflow"),
         )
         .drop("side")
-        .withColumn("imbalance_index", F.col("inflow") - F.col("outflow"))
     )
+    return _labelled(flows).withColumn("imbalance_index", F.col("inflow") - F.col("outflow"))
 
 
 def by_imbalance(imbalance: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,15 @@ from ridelake.plans.silver import build_silver
 from ridelake.plans.star import (
     FACT_INPUTS,
     KEYED,
+    Dimension,
     build_fact,
     date_members,
     members_of,
     new_members,
-    unknown_member,
     upsert_dimension,
 )
 from ridelake.rules import SILVER, RuleSet
-from ridelake.session import materialise
+from ridelake.session import materialise, together
 from ridelake.sinks.layers import append_rows, refresh, swap_table, write_partitioned
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
@@ -76,28 +77,31 @@ def raw_to_silver(
     write_silver(trips, sized(materialise(daily, "weather")), root, rules, [year])
 
 
-def grow_dimensions(silver: DataFrame, root: str) -> None:
+def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     """Append the members that ``silver`` adds; stored rows are never rewritten.
 
     Safe to repeat: a second run finds nothing new.
     """
-    spark, layout = silver.sparkSession, Layout(root)
-    for dim in KEYED:
-        path = layout.dimension(dim.name)
-        existing = read_or_empty(spark, path, dim.schema)
-        if existing.isEmpty():
-            append_rows(unknown_member(spark, dim), path)
-        append_rows(new_members(members_of(silver, dim), existing, dim), path)
-        refresh(spark, path)
+    spark, path = silver.sparkSession, Layout(root).dimension(dim.name)
+    existing = read_or_empty(spark, path, dim.schema)
+    append_rows(new_members(members_of(silver, dim), existing, dim), path)
+    refresh(spark, path)
 
 
-def rebuild_dimensions(silver: DataFrame, root: str) -> None:
+def rebuild_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     """Number all members again; only right when the whole fact is rewritten too."""
-    spark, layout = silver.sparkSession, Layout(root)
-    for dim in KEYED:
-        path = layout.dimension(dim.name)
-        existing = read_or_empty(spark, path, dim.schema)
-        swap_table(upsert_dimension(members_of(silver, dim), existing, dim, mode="rebuild"), path)
+    path = Layout(root).dimension(dim.name)
+    existing = read_or_empty(silver.sparkSession, path, dim.schema)
+    swap_table(upsert_dimension(members_of(silver, dim), existing, dim, mode="rebuild"), path)
+
+
+def stored_dimensions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The keyed dimensions as lookup sides, broadcast where they measure small."""
+    layout = Layout(root)
+    return {
+        dim.name: sized(spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)))
+        for dim in KEYED
+    }
 
 
 def silver_to_gold(
@@ -115,13 +119,13 @@ def silver_to_gold(
     silver = require_columns(read_silver(spark, root), ["temp"])
     if years is not None:
         silver = silver.filter(F.col("year").isin(*years))
-    grow_dimensions(silver, root) if mode == "stable" else rebuild_dimensions(silver, root)
+    update = {"stable": grow_dimension, "rebuild": rebuild_dimension}[mode]
     layout = Layout(root)
-    write_partitioned(date_members(silver), layout.dimension("dim_date"), BY_MONTH)
-    dimensions = {
-        dim.name: sized(spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)))
-        for dim in KEYED
-    }
+    together(
+        *[partial(update, silver, root, dim) for dim in KEYED],
+        lambda: write_partitioned(date_members(silver), layout.dimension("dim_date"), BY_MONTH),
+    )
+    dimensions = stored_dimensions(spark, root)
     rows_in, rows_out = Observation("silver_rows"), Observation("fact_rows")
     # The observation counts what the scan delivers, so it comes after the
     # projection: columns are not pruned through it.

@@ -104,12 +104,16 @@ def new_members(new: DataFrame, existing: DataFrame, dim: Dimension) -> DataFram
     """Keyed rows for the members of ``new`` that ``existing`` lacks.
 
     Numbering continues after the highest key in use; members are numbered in
-    the order of their natural key.
+    the order of their natural key. A dimension without rows also gets its
+    unknown member.
     """
-    highest = existing.agg(F.coalesce(F.max(dim.key), F.lit(0)).alias("k")).first()["k"]
+    highest = existing.agg(F.max(dim.key).alias("key")).first()["key"]
     absent = new.join(existing.select(dim.natural), dim.natural, "left_anti")
-    numbered = number_rows(absent, [F.col(dim.natural)], dim.key, start=max(highest, 0) + 1)
-    return lock_schema(numbered, dim.schema)
+    start = max(highest or 0, 0) + 1
+    added = lock_schema(number_rows(absent, [F.col(dim.natural)], dim.key, start), dim.schema)
+    if highest is None:
+        added = added.unionByName(unknown_member(new.sparkSession, dim))
+    return added
 
 
 def upsert_dimension(
@@ -119,15 +123,13 @@ def upsert_dimension(
 
     ``stable`` keeps every key ever given out, so older fact rows stay right.
     ``rebuild`` numbers all members again from 1 and suits only a single load.
-    Either way the unknown member is present once, under key -1.
+    Either way the unknown member appears once, under key -1.
     """
     spark = new.sparkSession
     if existing is None:
         existing = spark.createDataFrame([], dim.schema)
     if mode == "stable":
-        known = existing.filter(F.col(dim.key) != UNKNOWN_KEY)
-        added = new_members(new, existing, dim)
-        return known.unionByName(added).unionByName(unknown_member(spark, dim))
+        return existing.unionByName(new_members(new, existing, dim))
     if mode != "rebuild":
         raise ValueError(f"unknown mode {mode!r}")
     earlier = existing.filter(F.col(dim.key) != UNKNOWN_KEY).drop(dim.key)

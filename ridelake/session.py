@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE settings the plans in this library rely on: partition counts are chosen
@@ -66,3 +69,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable[[], object]) -> list[object]:
+    """Submit independent Spark jobs at the same time and wait for all of them.
+
+    Short jobs on small results leave most of a cluster idle; run one after the
+    other they add up to pure latency.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [r.result() for r in running]

@@ -10,6 +10,7 @@ only what is missing.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,11 @@ from pyspark.sql import types as T
 
 from ridelake import schemas
 from ridelake.operators.clean import cast_trips
-from ridelake.operators.lookup import sized
-from ridelake.plans.lake import BY_MONTH, grow_dimensions
+from ridelake.plans.lake import BY_MONTH, grow_dimension, stored_dimensions
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import FACT_INPUTS, KEYED, build_fact, date_members
 from ridelake.rules import SILVER, RuleSet
-from ridelake.session import materialise
+from ridelake.session import materialise, together
 from ridelake.sinks.layers import refresh, write_partitioned
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
@@ -62,23 +62,23 @@ def load_batch(
     months = [(r.year, r.month) for r in batch.select(*BY_MONTH).distinct().collect()]
     if not months:
         return months
-    fresh = _absent(batch, layout.silver(), schemas.SILVER, months)
-    write_partitioned(fresh, layout.silver(), BY_MONTH, mode="append")
-    refresh(spark, layout.silver())
 
-    grow_dimensions(batch, root)
-    dates = read_or_empty(spark, layout.dimension("dim_date"), schemas.DIM_DATE)
-    new_dates = date_members(batch).join(dates.select("date_key"), "date_key", "left_anti")
-    write_partitioned(
-        new_dates.select(*schemas.DIM_DATE.names), layout.dimension("dim_date"), BY_MONTH, mode="append"
-    )
-    dimensions = {
-        dim.name: sized(spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)))
-        for dim in KEYED
-    }
+    def add_silver() -> None:
+        fresh = _absent(batch, layout.silver(), schemas.SILVER, months)
+        write_partitioned(fresh, layout.silver(), BY_MONTH, mode="append")
+
+    def add_dates() -> None:
+        path = layout.dimension("dim_date")
+        known = read_or_empty(spark, path, schemas.DIM_DATE).select("date_key")
+        added = date_members(batch).join(known, "date_key", "left_anti")
+        write_partitioned(added, path, BY_MONTH, mode="append")
+
+    together(add_silver, add_dates, *[partial(grow_dimension, batch, root, dim) for dim in KEYED])
+    dimensions = stored_dimensions(spark, root)
     unposted = _absent(batch.select(*FACT_INPUTS), layout.fact, schemas.FACT_TRIPS, months)
     write_partitioned(build_fact(unposted, dimensions), layout.fact, BY_MONTH, mode="append")
     refresh(spark, layout.fact)
+    refresh(spark, layout.silver())
     return months
 
 
