@@ -55,7 +55,7 @@ def cast_trips(raw: DataFrame) -> DataFrame:
     return typed(raw, TYPED_TRIPS)
 
 
-def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def cast_columns(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
     """Replace the named columns by their parsed value and keep the others."""
     return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items()})
 

@@ -21,14 +21,19 @@ def payload_bytes(df: DataFrame) -> int:
     return df.agg(size.alias("size")).first()["size"]
 
 
+def fits(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored lookup table measures at most ``limit`` bytes."""
+    return payload_bytes(lookup) <= limit
+
+
 def sized(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``lookup``, marked for broadcast if it measures at most ``limit`` bytes.
+    """``lookup``, marked for broadcast if it fits.
 
     A larger one is returned as it is: the planner then joins by shuffle, where
     adaptive execution splits the partitions of hot keys. ``lookup`` should be
     a stored table, since it is read once more to be measured.
     """
-    return F.broadcast(lookup) if payload_bytes(lookup) <= limit else lookup
+    return F.broadcast(lookup) if fits(lookup, limit) else lookup
 
 
 def left_lookup(rows: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:

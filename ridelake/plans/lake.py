@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.operators.clean import cast_trips, require_columns
-from ridelake.operators.lookup import sized
+from ridelake.operators.lookup import fits, sized
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import (
     FACT_INPUTS,
@@ -39,10 +39,12 @@ def write_silver(
     root: str,
     rules: RuleSet = SILVER,
     holiday_years: Iterable[int] | None = None,
+    *,
+    clustered: bool = False,
 ) -> None:
     """Replace the Silver months that ``trips`` covers."""
     silver = build_silver(trips, daily, rules, holiday_years)
-    write_partitioned(silver, Layout(root).silver(), BY_MONTH)
+    write_partitioned(silver, Layout(root).silver(), BY_MONTH, clustered=clustered)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -70,11 +72,16 @@ def raw_to_silver(
     rules: RuleSet = SILVER,
     weather_date_format: str = "dd-MM-yyyy",
 ) -> None:
-    """One year of raw CSV below ``root`` into the Silver layer."""
+    """One year of raw CSV below ``root`` into the Silver layer.
+
+    Raw files hold one month each and a scan task reads from one file, so the
+    rows are written where they are read, without a shuffle; the size of a scan
+    task (``spark.sql.files.maxPartitionBytes``) is what sets the file size.
+    """
     layout = Layout(root)
     trips = cast_trips(read_trips(spark, layout.raw_trips(year)))
     daily = load_weather(spark, layout.raw_weather(year), weather_date_format)
-    write_silver(trips, sized(materialise(daily, "weather")), root, rules, [year])
+    write_silver(trips, sized(materialise(daily, "weather")), root, rules, [year], clustered=True)
 
 
 def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
@@ -95,13 +102,15 @@ def rebuild_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     swap_table(upsert_dimension(members_of(silver, dim), existing, dim, mode="rebuild"), path)
 
 
-def stored_dimensions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The keyed dimensions as lookup sides, broadcast where they measure small."""
+def stored_dimensions(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], bool]:
+    """The keyed dimensions as lookup sides, and whether all of them are broadcast."""
     layout = Layout(root)
-    return {
-        dim.name: sized(spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)))
-        for dim in KEYED
+    stored = {
+        dim.name: spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)) for dim in KEYED
     }
+    small = dict(zip(stored, together(spark, *[partial(fits, table) for table in stored.values()])))
+    marked = {name: F.broadcast(t) if small[name] else t for name, t in stored.items()}
+    return marked, all(small.values())
 
 
 def silver_to_gold(
@@ -122,14 +131,17 @@ def silver_to_gold(
     update = {"stable": grow_dimension, "rebuild": rebuild_dimension}[mode]
     layout = Layout(root)
     together(
+        spark,
         *[partial(update, silver, root, dim) for dim in KEYED],
         lambda: write_partitioned(date_members(silver), layout.dimension("dim_date"), BY_MONTH),
     )
-    dimensions = stored_dimensions(spark, root)
+    dimensions, all_broadcast = stored_dimensions(spark, root)
     rows_in, rows_out = Observation("silver_rows"), Observation("fact_rows")
     # The observation counts what the scan delivers, so it comes after the
     # projection: columns are not pruned through it.
     counted = silver.select(*FACT_INPUTS).observe(rows_in, F.count(F.lit(1)).alias("n"))
     fact = build_fact(counted, dimensions).observe(rows_out, F.count(F.lit(1)).alias("n"))
-    write_partitioned(fact, layout.fact, BY_MONTH)
+    # Silver is stored by month. As long as no lookup shuffles, its scan tasks
+    # still hold one month each when the fact is written.
+    write_partitioned(fact, layout.fact, BY_MONTH, clustered=all_broadcast)
     return {"silver_rows": rows_in.get["n"], "fact_rows": rows_out.get["n"]}

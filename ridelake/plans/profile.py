@@ -30,10 +30,16 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _tall(counts, df.columns, "column_name", "nulls")
 
 
-def duplicate_rides(trips: DataFrame) -> DataFrame:
-    return trips.agg(
-        (F.count("*") - F.count_distinct("ride_id")).alias("duplicate_rides")
-    )
+def _distinct_rides(relative_error: float | None) -> Column:
+    """Exact unless an error is allowed; exact counting shuffles every distinct id."""
+    if relative_error is None:
+        return F.count_distinct("ride_id")
+    return F.approx_count_distinct("ride_id", relative_error)
+
+
+def duplicate_rides(trips: DataFrame, relative_error: float | None = None) -> DataFrame:
+    repeated = F.count("*") - _distinct_rides(relative_error)
+    return trips.agg(repeated.alias("duplicate_rides"))
 
 
 def duplicated_ids(trips: DataFrame, key: str = "ride_id") -> DataFrame:
@@ -86,12 +92,12 @@ def time_range(trips: DataFrame) -> DataFrame:
     return trips.agg(F.min("started_at").alias("min_date"), F.max("started_at").alias("max_date"))
 
 
-def dataset_summary(trips: DataFrame) -> DataFrame:
+def dataset_summary(trips: DataFrame, relative_error: float | None = None) -> DataFrame:
     """Rows, distinct start points and repeated ride ids."""
     return trips.agg(
         F.count("*").alias("total_rows"),
         F.count_distinct("start_lat", "start_lng").alias("unique_start_points"),
-        (F.count("*") - F.count_distinct("ride_id")).alias("duplicate_rides"),
+        (F.count("*") - _distinct_rides(relative_error)).alias("duplicate_rides"),
     )
 
 

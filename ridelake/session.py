@@ -71,12 +71,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(*jobs: Callable[[], object]) -> list[object]:
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list[object]:
     """Submit independent Spark jobs at the same time and wait for all of them.
 
     Short jobs on small results leave most of a cluster idle; run one after the
     other they add up to pure latency.
     """
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [r.result() for r in running]

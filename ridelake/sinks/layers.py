@@ -18,19 +18,23 @@ def write_layer(df: DataFrame, path: str, *, max_files: int | None = None) -> No
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: list[str], *, dynamic: bool = True, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    *,
+    dynamic: bool = True,
+    mode: str = "overwrite",
+    clustered: bool = False,
 ) -> None:
     """Write by partition; ``dynamic`` replaces only the partitions that ``df`` holds.
 
     Rows are rebalanced by the partition columns first, so that a partition gets
     few files, while one that holds much of the data is split over several tasks.
+    ``clustered`` says that each task already holds few partitions, as when the
+    rows come from files of one month each; the shuffle is then left out.
     """
-    writer = (
-        df.hint("rebalance", *by)
-        .write.mode(mode)
-        .partitionBy(*by)
-        .option("compression", "snappy")
-    )
+    rows = df if clustered else df.hint("rebalance", *by)
+    writer = rows.write.mode(mode).partitionBy(*by).option("compression", "snappy")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.parquet(path)

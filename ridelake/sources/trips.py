@@ -103,6 +103,6 @@ def zip_rows(trips: DataFrame, name: str = "drop") -> DataFrame:
     return trips.select(*RAW_TRIPS.names).mapInPandas(pack, schema)
 
 
-def archive_month(source_column: str = "source") -> Column:
-    """The archive's base name, used to name its staged partition."""
-    return F.regexp_extract(F.col(source_column), r"([^/]+)\.zip$", 1)
+def archive_name(source: Column) -> Column:
+    """The base name of an archive, which names its staged partition."""
+    return F.regexp_extract(source, r"([^/]+)\.zip$", 1)

@@ -73,8 +73,8 @@ def load_batch(
         added = date_members(batch).join(known, "date_key", "left_anti")
         write_partitioned(added, path, BY_MONTH, mode="append")
 
-    together(add_silver, add_dates, *[partial(grow_dimension, batch, root, dim) for dim in KEYED])
-    dimensions = stored_dimensions(spark, root)
+    together(spark, add_silver, add_dates, *[partial(grow_dimension, batch, root, dim) for dim in KEYED])
+    dimensions, _ = stored_dimensions(spark, root)
     unposted = _absent(batch.select(*FACT_INPUTS), layout.fact, schemas.FACT_TRIPS, months)
     write_partitioned(build_fact(unposted, dimensions), layout.fact, BY_MONTH, mode="append")
     refresh(spark, layout.fact)
