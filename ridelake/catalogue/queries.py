@@ -13,6 +13,7 @@ from ridelake.catalogue.relations import (
     daily_weather,
     event_trips,
     event_weather,
+    joined_trips,
     lake,
     order_trips,
     typed_trips,
@@ -78,22 +79,6 @@ def legacy_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips joined to weather, with a distance, before any rule removed rows."""
-    trips = typed_trips(spark, sf_dir).withColumns(
-        {
-            "trip_date": F.to_date("started_at"),
-            "trip_distance": F.round(
-                geo.great_circle(
-                    F.col("start_lat"), F.col("start_lng"), F.col("end_lat"), F.col("end_lng")
-                ),
-                2,
-            ),
-        }
-    )
-    return left_lookup(trips, daily_weather(spark, sf_dir), "trip_date")
-
-
 NOTEBOOK_COLUMNS = (
     "ride_id", "start_date", "start_time", "end_date", "end_time", "start_hour", "is_rush_hour",
     "day_of_week", "month", "year", "season", "trip_duration_minutes", "is_round_trip",
@@ -103,16 +88,16 @@ NOTEBOOK_COLUMNS = (
 
 
 def notebook_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text(silver.build_notebook(_with_distance(spark, sf_dir)).select(*NOTEBOOK_COLUMNS))
+    return as_text(silver.build_notebook(joined_trips(spark, sf_dir)).select(*NOTEBOOK_COLUMNS))
 
 
 def notebook_distance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.distance_summary(silver.build_notebook(_with_distance(spark, sf_dir)))
+    return profile.distance_summary(silver.build_notebook(joined_trips(spark, sf_dir)))
 
 
 def excessive_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips beyond the distance limit; a limit of 30 miles, as orders span one city."""
-    far = clean.excessive_distance(_with_distance(spark, sf_dir), limit=30)
+    far = clean.excessive_distance(joined_trips(spark, sf_dir), limit=30)
     return far.select(
         "ride_id", "trip_distance", "start_lat", "start_lng", "end_lat", "end_lng",
         "end_station_id", "end_station_name",
@@ -199,7 +184,7 @@ def dim_rebuild_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_profile(_with_distance(spark, sf_dir).drop("trip_distance"))
+    return profile.null_profile(joined_trips(spark, sf_dir).drop("trip_distance"))
 
 
 def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake import schemas
+from ridelake.functions import geo
 from ridelake.operators.clean import typed
-from ridelake.operators.lookup import sized
+from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans.lake import silver_to_gold, write_silver
 from ridelake.session import fresh_path, materialise
 
@@ -107,10 +108,6 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, [ORDER_TRIPS], "SELECT * FROM trips")
 
 
-def typed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(order_trips(spark, sf_dir), schemas.TYPED_TRIPS)
-
-
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, [EVENT_TRIPS], "SELECT * FROM trips")
 
@@ -126,6 +123,21 @@ def _per_session(kind: str, spark: SparkSession, sf_dir: str, build):
     return _once[key]
 
 
+def typed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed trips as a stored raw layer.
+
+    The table-building plans use every column many times over. Over stored
+    columns their generated code stays small enough to be compiled; with the
+    derivation above inlined into each use it would not.
+    """
+    return _per_session(
+        "trips",
+        spark,
+        sf_dir,
+        lambda: materialise(typed(order_trips(spark, sf_dir), schemas.TYPED_TRIPS), "trips"),
+    )
+
+
 def _stored_weather(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
     daily = _run(spark, sf_dir, [days, WEATHER], "SELECT * FROM weather")
     return materialise(typed(daily, schemas.DAILY_WEATHER), "weather")
@@ -144,18 +156,35 @@ def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lake(spark: SparkSession, sf_dir: str) -> str:
-    """Root of a lake with Silver and Gold loaded from the derived trips."""
+def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored trips with their distance and weather, before any rule removed rows."""
+
+    def build() -> DataFrame:
+        corners = [F.col(c) for c in ("start_lat", "start_lng", "end_lat", "end_lng")]
+        trips = typed_trips(spark, sf_dir).withColumns(
+            {
+                "trip_date": F.to_date("started_at"),
+                "trip_distance": F.round(geo.great_circle(*corners), 2),
+            }
+        )
+        return materialise(left_lookup(trips, daily_weather(spark, sf_dir), "trip_date"), "joined")
+
+    return _per_session("joined", spark, sf_dir, build)
 
-    def build() -> str:
-        root = fresh_path(spark, "lake")
-        write_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), root)
-        counts = silver_to_gold(spark, root)
-        if counts["silver_rows"] != counts["fact_rows"]:
-            raise RuntimeError(f"fact does not match Silver: {counts}")
-        return root
 
-    return _per_session("lake", spark, sf_dir, build)
+def build_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Load Silver and Gold from the derived trips below a new root."""
+    root = fresh_path(spark, "lake")
+    write_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), root)
+    counts = silver_to_gold(spark, root)
+    if counts["silver_rows"] != counts["fact_rows"]:
+        raise RuntimeError(f"fact does not match Silver: {counts}")
+    return root
+
+
+def lake(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the lake this session uses."""
+    return _per_session("lake", spark, sf_dir, lambda: build_lake(spark, sf_dir))
 
 
 def as_text(df: DataFrame) -> DataFrame:

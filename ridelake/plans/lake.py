@@ -91,8 +91,10 @@ def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     """
     spark, path = silver.sparkSession, Layout(root).dimension(dim.name)
     existing = read_or_empty(spark, path, dim.schema)
-    append_rows(new_members(members_of(silver, dim), existing, dim), path)
-    refresh(spark, path)
+    added = new_members(members_of(silver, dim), existing, dim)
+    if added is not None:
+        append_rows(added, path)
+        refresh(spark, path)
 
 
 def rebuild_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:

@@ -13,6 +13,7 @@ from ridelake.functions import times
 from ridelake.operators.clean import lock_schema
 from ridelake.operators.lookup import left_lookup
 from ridelake.operators.ordering import number_rows
+from ridelake.session import materialise
 
 UNKNOWN_KEY = -1
 
@@ -100,15 +101,19 @@ def members_of(silver: DataFrame, dim: Dimension) -> DataFrame:
     return station_members(silver) if dim is STATION else plain_members(silver, dim)
 
 
-def new_members(new: DataFrame, existing: DataFrame, dim: Dimension) -> DataFrame:
-    """Keyed rows for the members of ``new`` that ``existing`` lacks.
+def new_members(new: DataFrame, existing: DataFrame, dim: Dimension) -> DataFrame | None:
+    """Keyed rows for the members of ``new`` that ``existing`` lacks, None if it lacks none.
 
     Numbering continues after the highest key in use; members are numbered in
     the order of their natural key. A dimension without rows also gets its
     unknown member.
     """
     highest = existing.agg(F.max(dim.key).alias("key")).first()["key"]
-    absent = new.join(existing.select(dim.natural), dim.natural, "left_anti")
+    absent = materialise(
+        new.join(existing.select(dim.natural), dim.natural, "left_anti"), f"new-{dim.name}"
+    )
+    if highest is not None and absent.isEmpty():
+        return None
     start = max(highest or 0, 0) + 1
     added = lock_schema(number_rows(absent, [F.col(dim.natural)], dim.key, start), dim.schema)
     if highest is None:
@@ -129,7 +134,8 @@ def upsert_dimension(
     if existing is None:
         existing = spark.createDataFrame([], dim.schema)
     if mode == "stable":
-        return existing.unionByName(new_members(new, existing, dim))
+        added = new_members(new, existing, dim)
+        return existing if added is None else existing.unionByName(added)
     if mode != "rebuild":
         raise ValueError(f"unknown mode {mode!r}")
     earlier = existing.filter(F.col(dim.key) != UNKNOWN_KEY).drop(dim.key)
