@@ -124,30 +124,27 @@ joined AS (
   FROM trips t LEFT JOIN weather w ON {_DAY} = w.trip_date
 )"""
 
+# One row per trip end. An end without a station stays apart by direction.
 _FLOWS = """
-departures AS (
-  SELECT strftime(started_at, '%Y-%m') AS month, start_station_id AS station_id, count(*) AS outflow
-  FROM trips {where_start} GROUP BY 1, 2
-), arrivals AS (
-  SELECT strftime(started_at, '%Y-%m') AS month, end_station_id AS station_id, count(*) AS inflow
-  FROM trips {where_end} GROUP BY 1, 2
+moves AS (
+  SELECT strftime(started_at, '%Y-%m') AS month, start_station_id AS station_id, 0 AS arr, 1 AS dep,
+         CASE WHEN start_station_id IS NULL THEN 'out' END AS lone FROM trips
+  UNION ALL
+  SELECT strftime(started_at, '%Y-%m'), end_station_id, 1, 0,
+         CASE WHEN end_station_id IS NULL THEN 'in' END FROM trips
 ), flows AS (
-  SELECT COALESCE(d.month, a.month) AS month, COALESCE(d.station_id, a.station_id) AS station_id,
-         COALESCE(inflow, 0) AS inflow, COALESCE(outflow, 0) AS outflow,
-         COALESCE(inflow, 0) - COALESCE(outflow, 0) AS imbalance_index
-  FROM departures d FULL OUTER JOIN arrivals a
-    ON d.month = a.month AND d.station_id = a.station_id
+  SELECT month, station_id, CAST(sum(arr) AS BIGINT) AS inflow, CAST(sum(dep) AS BIGINT) AS outflow,
+         CAST(sum(arr) - sum(dep) AS BIGINT) AS imbalance_index
+  FROM moves {where} GROUP BY month, station_id, lone
 )"""
-_ALL_FLOWS = _FLOWS.format(where_start="", where_end="")
-_KNOWN_FLOWS = _FLOWS.format(
-    where_start="WHERE start_station_id IS NOT NULL", where_end="WHERE end_station_id IS NOT NULL"
-)
+_ALL_FLOWS = _FLOWS.format(where="")
+_KNOWN_FLOWS = _FLOWS.format(where="WHERE lone IS NULL")
 _CATEGORISED = """
 categorised AS (
   SELECT *, CASE WHEN imbalance_index > 20 THEN 'Severe overflow'
-                 WHEN imbalance_index BETWEEN 5 AND 20 THEN 'Mild overflow'
-                 WHEN imbalance_index BETWEEN -5 AND 5 THEN 'Balanced'
-                 WHEN imbalance_index BETWEEN -20 AND -5 THEN 'Mild shortage'
+                 WHEN imbalance_index >= 5 THEN 'Mild overflow'
+                 WHEN imbalance_index >= -5 THEN 'Balanced'
+                 WHEN imbalance_index >= -20 THEN 'Mild shortage'
                  ELSE 'Severe shortage' END AS imbalance_category
   FROM flows
 )"""
@@ -381,8 +378,8 @@ UNION ALL SELECT -1, 'Unknown'""".strip(),
     ),
     "temp_bucket_impact": _joined(
         f"""SELECT CASE WHEN {_CELSIUS} < 0 THEN 'Below 0°C'
-        WHEN {_CELSIUS} BETWEEN 0 AND 10 THEN '0–10°C' WHEN {_CELSIUS} BETWEEN 10 AND 20 THEN '10–20°C'
-        WHEN {_CELSIUS} BETWEEN 20 AND 30 THEN '20–30°C' ELSE 'Above 30°C' END AS temp_bucket,
+        WHEN {_CELSIUS} <= 10 THEN '0–10°C' WHEN {_CELSIUS} <= 20 THEN '10–20°C'
+        WHEN {_CELSIUS} <= 30 THEN '20–30°C' ELSE 'Above 30°C' END AS temp_bucket,
         count(*) AS trips FROM joined WHERE temp IS NOT NULL GROUP BY 1"""
     ),
     "weather_score": _joined(
@@ -643,9 +640,10 @@ SELECT ride_id, {_ISO.format("started_at")} AS start_date, strftime(started_at,
        COALESCE(substr(frshtt, 2, 1) = '1', FALSE) AS has_rain,
        COALESCE(substr(frshtt, 3, 1) = '1', FALSE) AS has_snow,
        COALESCE(substr(frshtt, 5, 1) = '1', FALSE) AS has_thunder,
-       CASE WHEN prcp = 0 THEN 'no_rain' WHEN prcp > 0 AND prcp <= 0.1 THEN 'light_rain'
-            WHEN prcp > 0.1 AND prcp <= 0.5 THEN 'moderate_rain' ELSE 'heavy_rain' END AS prcp_category,
-       CASE WHEN temp < 40 THEN 'cold' WHEN temp >= 40 AND temp <= 70 THEN 'moderate' ELSE 'hot' END
+       CASE WHEN prcp < 0 THEN 'heavy_rain' WHEN prcp = 0 THEN 'no_rain'
+            WHEN prcp <= 0.1 THEN 'light_rain' WHEN prcp <= 0.5 THEN 'moderate_rain'
+            ELSE 'heavy_rain' END AS prcp_category,
+       CASE WHEN temp < 40 THEN 'cold' WHEN temp <= 70 THEN 'moderate' ELSE 'hot' END
          AS temp_category,
        CASE WHEN wdsp <= 2.5 THEN 'low' WHEN wdsp <= 4.5 THEN 'moderate' ELSE 'high' END
          AS wind_category
@@ -657,6 +655,19 @@ ORACLE["notebook_distance_summary"] = _sql(
     / count(trip_distance), 4) AS avg_distance, count(*) AS total_trips,
     count(*) - count(trip_distance) AS null_dist_trips FROM notebook""",
 )
+ORACLE["event_audit"] = _days(
+    """SELECT DISTINCT frshtt, COALESCE(frshtt[1] = '1', FALSE) AS has_fog,
+    COALESCE(frshtt[2] = '1', FALSE) AS has_rain, COALESCE(frshtt[3] = '1', FALSE) AS has_snow,
+    COALESCE(frshtt[5] = '1', FALSE) AS has_thunder FROM weather"""
+)
+ORACLE["joined_cast"] = _joined(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, ROUND(avg({c}), 4) AS mean,
+        ROUND(stddev_samp({c}), 4) AS stddev, ROUND(min({c}), 4) AS lowest,
+        ROUND(max({c}), 4) AS highest FROM joined"""
+        for c in ("start_lat", "start_lng", "end_lat", "end_lng", "temp", "visib", "wdsp", "prcp", "sndp")
+    )
+)
 ORACLE["excessive_distances"] = _trips(
     """SELECT ride_id, trip_distance, start_lat, start_lng, end_lat, end_lng, end_station_id,
     end_station_name FROM far WHERE trip_distance > 30""",

@@ -20,6 +20,7 @@ from ridelake.catalogue.relations import (
 )
 from ridelake.functions import geo, times
 from ridelake.functions.bands import banded
+from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
 from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star
@@ -230,6 +231,26 @@ def category_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tall.select("row.*").distinct()
 
 
+def event_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct event texts with the flags decoded from them."""
+    daily = daily_weather(spark, sf_dir)
+    flags = event_flags(F.col("frshtt"), prefix="has_", as_boolean=True)
+    shown = ["has_fog", "has_rain", "has_snow", "has_thunder"]
+    return profile.category_audit(
+        daily.withColumns({name: flags[name] for name in shown}), "frshtt", *shown
+    )
+
+
+def joined_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined table as text, typed again, then described."""
+    joined = joined_trips(spark, sf_dir)
+    text = joined.select(*[F.col(c).cast("string").alias(c) for c in joined.columns])
+    numbers = [
+        "start_lat", "start_lng", "end_lat", "end_lng", "temp", "visib", "wdsp", "prcp", "sndp",
+    ]
+    return profile.describe_columns(clean.cast_joined(text), numbers)
+
+
 def weather_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.weather_event_days(daily_weather(spark, sf_dir))
 
@@ -461,6 +482,8 @@ QUERIES: dict[str, Query] = {
     "short_long_share": _on_trips(profile.duration_shares),
     "station_concentration": _on_trips(profile.station_concentration),
     "weather_events": weather_events,
+    "event_audit": event_audit,
+    "joined_cast": joined_cast,
     "duration_histogram": _on_trips(profile.duration_histogram),
     "duration_histogram_full": _on_trips(
         lambda t: profile.duration_histogram(t, low=None, high=None, bins=100)

@@ -64,6 +64,18 @@ def cast_weather(raw: DataFrame, columns: Iterable[str] = FULL_WEATHER_NUMBERS)
     return cast_columns(raw, {name: "double" for name in columns})
 
 
+def cast_joined(df: DataFrame) -> DataFrame:
+    """Type whichever columns of the joined trip-weather table ``df`` has, in either case."""
+    kinds = {
+        **{f.name: f.dataType for f in TYPED_TRIPS},
+        "trip_date": "date",
+        "station": "string",
+        **dict.fromkeys(("latitude", "longitude", "elevation"), "double"),
+        **{name.lower(): "double" for name in FULL_WEATHER_NUMBERS},
+    }
+    return cast_columns(df, {c: kinds[c.lower()] for c in df.columns if c.lower() in kinds})
+
+
 def parse_weather_date(raw: DataFrame, fmt: str = "dd-MM-yyyy") -> DataFrame:
     """``DATE`` text to a ``trip_date`` date; unreadable dates become NULL."""
     parsed = F.to_date(F.try_to_timestamp("DATE", F.lit(fmt)))
@@ -101,10 +113,15 @@ def first_per_key(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def prepare_weather(raw: DataFrame, fmt: str = "dd-MM-yyyy") -> DataFrame:
-    """Raw weather text to one typed row per date, columns in lower case."""
-    picked = parse_weather_date(cast_weather(raw, SILVER_WEATHER_NUMBERS), fmt)
+    """Raw weather text to one typed row per date, columns in lower case.
+
+    Equal reports are merged first: that needs no sort, and leaves the choice
+    between differing ones little to do.
+    """
+    picked = raw.select("DATE", *SILVER_WEATHER_NUMBERS, "FRSHTT").distinct()
+    parsed = parse_weather_date(cast_weather(picked, SILVER_WEATHER_NUMBERS), fmt)
     return first_per_key(
-        lower_columns(picked.select("trip_date", *SILVER_WEATHER_NUMBERS, "FRSHTT")), ["trip_date"]
+        lower_columns(parsed.select("trip_date", *SILVER_WEATHER_NUMBERS, "FRSHTT")), ["trip_date"]
     )
 
 

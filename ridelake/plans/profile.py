@@ -117,9 +117,9 @@ def sentinel_counts(daily: DataFrame, columns: list[str]) -> DataFrame:
     return _tall(wide, columns, "column_name", "missing_readings")
 
 
-def category_audit(df: DataFrame, value: str, category: str) -> DataFrame:
-    """Which label each distinct value received."""
-    return df.select(value, category).distinct().orderBy(value)
+def category_audit(df: DataFrame, value: str, *labels: str) -> DataFrame:
+    """Which labels each distinct value received."""
+    return df.select(value, *labels).distinct().orderBy(value)
 
 
 def duration_shares(trips: DataFrame, short: float = 30, long: float = MAX_MINUTES) -> DataFrame:
