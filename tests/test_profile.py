@@ -5,7 +5,7 @@ import pytest
 from helpers import raw_trips, rows
 from pyspark.sql import functions as F
 
-from ridelake.operators.clean import cast_trips
+from ridelake.operators.clean import cast_joined, cast_trips
 from ridelake.plans import demand, profile
 from ridelake.session import materialise
 
@@ -115,3 +115,20 @@ def test_average_durations_ignore_reversed_trips(spark):
         "started_at timestamp, ended_at timestamp",
     )
     assert rows(demand.average_duration_by_month(df)) == [("2024-01", 1440.38)]
+
+
+def test_category_audit_lists_each_pair_once(spark):
+    df = spark.createDataFrame([(1.0, "a"), (1.0, "a"), (0.5, "b"), (None, "c")], "v double, label string")
+    assert [tuple(r) for r in profile.category_audit(df, "v", "label").collect()] == [
+        (None, "c"), (0.5, "b"), (1.0, "a"),
+    ]
+
+
+def test_joined_table_is_typed_in_either_case(spark):
+    text = spark.createDataFrame(
+        [("2024-01-01 10:00:00", "40.5", "72505", "999.9", "x", "2024-01-01")],
+        "started_at string, start_lat string, STATION string, SNDP string, Temp string, trip_date string",
+    )
+    got = cast_joined(text)
+    assert [t for _, t in got.dtypes] == ["timestamp", "double", "string", "double", "double", "date"]
+    assert (got.first().SNDP, got.first().Temp) == (999.9, None)

@@ -194,3 +194,18 @@ def test_catalog_registration(spark):
 def test_materialised_rows_survive_their_source(spark):
     stored = materialise(spark.range(5), "kept")
     assert rows(stored) == [(i,) for i in range(5)]
+
+
+def test_a_month_holding_most_rows_is_written_whole(spark, tmp_path):
+    skewed = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 12 + 1).cast("int").alias("month")
+    )
+    path = str(tmp_path / "skewed")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40k")
+    try:
+        write_partitioned(skewed, path, ["month"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(path)
+    assert rows(back.groupBy("month").count()) == rows(skewed.groupBy("month").count())
+    assert len(list((tmp_path / "skewed" / "month=7").glob("*.parquet"))) > 1

@@ -1,10 +1,12 @@
 from helpers import days, raw_trips, rows
 from pyspark.sql import functions as F
 
+from ridelake import schemas
 from ridelake.operators.clean import cast_trips
 from ridelake.plans import lake
 from ridelake.session import fresh_path
-from ridelake.streaming.incremental import load_batch, run_incremental
+from ridelake.sources.layout import Layout
+from ridelake.streaming.incremental import _absent, load_batch, run_incremental
 
 
 def trip(i, day, **more):
@@ -71,3 +73,15 @@ def test_a_repeated_batch_adds_only_what_is_missing(spark):
 def test_an_empty_batch_is_harmless(spark):
     root = fresh_path(spark, "empty")
     assert load_batch(raw_trips(spark, trip(1, "07-11", ended_at=None)), days(spark, {}), root) == []
+
+
+def test_only_touched_months_are_read(spark):
+    root, daily = fresh_path(spark, "prune"), days(spark, {})
+    load_batch(raw_trips(spark, trip(1, "07-11"), trip(2, "08-11")), daily, root)
+    batch = lake.read_silver(spark, root).filter("month = 8")
+    missing = _absent(batch, Layout(root).silver(), schemas.SILVER, [(2024, 8)])
+    assert missing.count() == 0
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    held = plan[plan.rindex("FileScan"):]
+    assert "ReadSchema: struct<ride_id:string>" in held
+    assert "PartitionFilters: [" in held and "= 8)" in held
