@@ -30,16 +30,17 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _tall(counts, df.columns, "column_name", "nulls")
 
 
-def _distinct_rides(relative_error: float | None) -> Column:
-    """Exact unless an error is allowed; exact counting shuffles every distinct id."""
-    if relative_error is None:
-        return F.count_distinct("ride_id")
-    return F.approx_count_distinct("ride_id", relative_error)
-
-
 def duplicate_rides(trips: DataFrame, relative_error: float | None = None) -> DataFrame:
-    repeated = F.count("*") - _distinct_rides(relative_error)
-    return trips.agg(repeated.alias("duplicate_rides"))
+    """Rows beyond the first of their ride id.
+
+    Exact counting shuffles every distinct id once; allow a relative error to
+    send a sketch per task instead.
+    """
+    if relative_error is None:
+        distinct = F.count_distinct("ride_id")
+    else:
+        distinct = F.approx_count_distinct("ride_id", relative_error)
+    return trips.agg((F.count("*") - distinct).alias("duplicate_rides"))
 
 
 def duplicated_ids(trips: DataFrame, key: str = "ride_id") -> DataFrame:
@@ -92,13 +93,19 @@ def time_range(trips: DataFrame) -> DataFrame:
     return trips.agg(F.min("started_at").alias("min_date"), F.max("started_at").alias("max_date"))
 
 
-def dataset_summary(trips: DataFrame, relative_error: float | None = None) -> DataFrame:
-    """Rows, distinct start points and repeated ride ids."""
-    return trips.agg(
-        F.count("*").alias("total_rows"),
-        F.count_distinct("start_lat", "start_lng").alias("unique_start_points"),
-        (F.count("*") - _distinct_rides(relative_error)).alias("duplicate_rides"),
-    )
+def dataset_summary(trips: DataFrame) -> DataFrame:
+    """Rows, distinct start points and repeated ride ids.
+
+    Counting rows per id answers two of the three; the start points are their
+    own aggregate over their own columns. Two distinct counts in one aggregate
+    would send every row through it three times.
+    """
+    points = trips.agg(F.count_distinct("start_lat", "start_lng").alias("n")).scalar()
+    per_ride = trips.groupBy("ride_id").agg(F.count("*").alias("n"))
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    return per_ride.agg(
+        rows.alias("total_rows"), (rows - F.count("ride_id")).alias("duplicate_rides")
+    ).select("total_rows", points.alias("unique_start_points"), "duplicate_rides")
 
 
 def trip_dates(trips: DataFrame) -> DataFrame:
@@ -201,12 +208,25 @@ def duration_histogram(
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair over all rows, NULLs skipped pairwise."""
+    """Pearson correlation of every column pair over all rows, NULLs skipped pairwise.
+
+    Pairs become the rows of a small grouped aggregate, so that any number of
+    columns takes one scan and one compiled loop; one aggregate expression per
+    pair outgrows code generation at a handful of columns.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[F.corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
-    tall = _tall(wide, [f"{a}|{b}" for a, b in pairs], "pair", "r")
-    split = F.split("pair", r"\|")
-    return tall.select(split[0].alias("x"), split[1].alias("y"), F.round("r", 6).alias("r"))
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    points = numbers.select(
+        F.posexplode(
+            F.array(*[F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
+        ).alias("pair", "at")
+    )
+    measured = points.groupBy("pair").agg(F.round(F.corr("at.x", "at.y"), 6).alias("r"))
+
+    def named(side: int):
+        return F.get(F.array(*[F.lit(pair[side]) for pair in pairs]), F.col("pair"))
+
+    return measured.select(named(0).alias("x"), named(1).alias("y"), "r")
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
