@@ -655,6 +655,20 @@ ORACLE["notebook_distance_summary"] = _sql(
     / count(trip_distance), 4) AS avg_distance, count(*) AS total_trips,
     count(*) - count(trip_distance) AS null_dist_trips FROM notebook""",
 )
+ORACLE["silver_unknown_weather"] = _sql(
+    [*_ORDERS, _CLEAN_WEATHER, _SILVER],
+    """SELECT CASE WHEN w.temp >= 75 AND w.temp <> 999.9 THEN 'Warm'
+              WHEN w.temp >= 55 AND w.temp <> 999.9 THEN 'Moderate'
+              WHEN w.temp <> 999.9 THEN 'Cool' END AS temp_category,
+         CASE WHEN w.prcp = 0 THEN 'No Rain' WHEN w.prcp <= 0.1 THEN 'Light'
+              WHEN w.prcp <= 0.3 THEN 'Moderate' WHEN w.prcp <> 999.9 THEN 'Heavy' END
+           AS prcp_category,
+         count(*) AS trips, count(*) FILTER (WHERE w.temp <> 999.9) AS with_temp
+  FROM silver s LEFT JOIN weather w ON s.trip_date = w.trip_date GROUP BY 1, 2""",
+)
+ORACLE["distinct_rides"] = _silver(
+    "SELECT year, month, count(*) AS trips FROM silver GROUP BY year, month"
+)
 ORACLE["event_audit"] = _days(
     """SELECT DISTINCT frshtt, COALESCE(frshtt[1] = '1', FALSE) AS has_fog,
     COALESCE(frshtt[2] = '1', FALSE) AS has_rain, COALESCE(frshtt[3] = '1', FALSE) AS has_snow,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ridelake.operators import clean
 from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star
 from ridelake.plans.lake import BY_MONTH, read_gold, read_silver
-from ridelake.rules import RAIN_SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK, WIND
+from ridelake.rules import RAIN_SILVER, SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK, WIND
 from ridelake.session import fresh_path, materialise
 from ridelake.sinks.catalog import register_gold
 from ridelake.sinks.layers import append_rows, write_partitioned
@@ -74,6 +75,24 @@ def silver_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_unknown_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with missing readings kept NULL and their categories unknown, counted."""
+    rules = replace(SILVER, unknown_weather=True, sentinel_value=None)
+    table = silver.build_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), rules)
+    return table.groupBy("temp_category", "prcp_category").agg(
+        F.count("*").alias("trips"), F.count("temp").alias("with_temp")
+    )
+
+
+def distinct_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of all trips delivered twice, each ride kept once, by month."""
+    trips = typed_trips(spark, sf_dir)
+    table = silver.build_silver(
+        trips.unionByName(trips), daily_weather(spark, sf_dir), replace(SILVER, dedup_rides=True)
+    )
+    return table.groupBy(*BY_MONTH).agg(F.count("*").alias("trips"))
+
+
 def legacy_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(
         silver.build_legacy(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir))
@@ -411,6 +430,8 @@ def event_duration_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "silver_trips": silver_trips,
     "silver_stored": silver_stored,
+    "silver_unknown_weather": silver_unknown_weather,
+    "distinct_rides": distinct_rides,
     "legacy_trips": legacy_trips,
     "notebook_features": notebook_features,
     "notebook_distance_summary": notebook_distance_summary,

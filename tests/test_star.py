@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 from helpers import days, raw_trips, rows
 from pyspark.sql import functions as F
 
@@ -143,3 +145,11 @@ def test_fact_build_shuffles_nothing(spark):
     plan = star.build_fact(lake.read_silver(spark, root), dims)._jdf.queryExecution().executedPlan().toString()
     assert all_broadcast and plan.count("BroadcastHashJoin") == 5
     assert "Exchange hashpartitioning" not in plan and "started_at" not in plan
+
+
+def test_unknown_category_gets_the_unknown_key(spark):
+    rules = replace(SILVER, unknown_weather=True)
+    late = {"ride_id": "x", "started_at": "2024-08-01 10:00:00", "ended_at": "2024-08-01 10:10:00"}
+    silver = build_silver(cast_trips(raw_trips(spark, {}, late)), days(spark, {}), rules)
+    fact = star.build_fact(silver, star.build_dimensions(silver))
+    assert rows(fact, "ride_id", "temp_key", "temperature") == [("r1", 1, 76.2), ("x", -1, None)]
