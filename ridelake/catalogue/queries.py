@@ -19,7 +19,7 @@ from ridelake.catalogue.relations import (
     order_trips,
     typed_trips,
 )
-from ridelake.functions import geo, times
+from ridelake.functions import geo
 from ridelake.functions.bands import banded
 from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
@@ -30,7 +30,6 @@ from ridelake.rules import RAIN_SILVER, SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK,
 from ridelake.session import fresh_path, materialise
 from ridelake.sinks.catalog import register_gold
 from ridelake.sinks.layers import append_rows, write_partitioned
-from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_layer, read_or_empty, sql_over_path
 from ridelake.sources.trips import read_trips, unzip_trips, zip_rows
 from ridelake.streaming.incremental import run_incremental
@@ -172,7 +171,7 @@ def station_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RIDERS = star.Dimension(
     "dim_rider", "rider_key", "rider_id",
-    schemas._layout("rider_key bigint\nrider_id string"), ("Unknown",),
+    schemas.layout("rider_key bigint\nrider_id string"), ("Unknown",),
 )
 SECOND_LOAD_YEAR = 1997
 

@@ -175,7 +175,7 @@ def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_lake(spark: SparkSession, sf_dir: str) -> str:
     """Load Silver and Gold from the derived trips below a new root."""
     root = fresh_path(spark, "lake")
-    write_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), root)
+    write_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), root, "orders")
     counts = silver_to_gold(spark, root)
     if counts["silver_rows"] != counts["fact_rows"]:
         raise RuntimeError(f"fact does not match Silver: {counts}")

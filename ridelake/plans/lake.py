@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake import schemas
@@ -37,21 +37,44 @@ def write_silver(
     trips: DataFrame,
     daily: DataFrame,
     root: str,
+    load: str,
     rules: RuleSet = SILVER,
     holiday_years: Iterable[int] | None = None,
     *,
     clustered: bool = False,
 ) -> None:
-    """Replace the Silver months that ``trips`` covers."""
+    """Replace all Silver rows that an earlier run of the same ``load`` wrote.
+
+    A load, such as the files of one year, may hold a few trips of a month that
+    mostly belongs to another load. Loads are stored apart, so writing one never
+    takes rows from another.
+    """
     silver = build_silver(trips, daily, rules, holiday_years)
-    write_partitioned(silver, Layout(root).silver(), BY_MONTH, clustered=clustered)
+    write_partitioned(
+        silver, Layout(root).silver(load), BY_MONTH, dynamic=False, clustered=clustered
+    )
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    stored = spark.read.schema(schemas.SILVER).parquet(Layout(root).silver())
+def read_silver(spark: SparkSession, root: str, loads: Iterable[str] | None = None) -> DataFrame:
+    stored = spark.read.schema(schemas.SILVER_STORED).parquet(Layout(root).silver())
+    if loads is not None:
+        stored = stored.filter(F.col("load").isin(*loads))
     return stored.select(*schemas.SILVER.names)
 
 
+def months_of(silver: DataFrame) -> list[tuple[int, int]]:
+    """The months present: one small row for each stored partition."""
+    return [(r.year, r.month) for r in silver.select(*BY_MONTH).distinct().collect()]
+
+
+def in_months(months: list[tuple[int, int]]) -> Column:
+    """A filter on the partition columns, so that other months are not read."""
+    hit = F.lit(False)
+    for year, month in months:
+        hit = hit | ((F.col("year") == year) & (F.col("month") == month))
+    return hit
+
+
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The fact and all dimensions, as stored."""
     layout = Layout(root)
@@ -81,7 +104,7 @@ def raw_to_silver(
     layout = Layout(root)
     trips = cast_trips(read_trips(spark, layout.raw_trips(year)))
     daily = load_weather(spark, layout.raw_weather(year), weather_date_format)
-    write_silver(trips, sized(materialise(daily, "weather")), root, rules, [year], clustered=True)
+    write_silver(trips, sized(materialise(daily, "weather")), root, str(year), rules, [year], clustered=True)
 
 
 def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
@@ -118,18 +141,18 @@ def stored_dimensions(spark: SparkSession, root: str) -> tuple[dict[str, DataFra
 def silver_to_gold(
     spark: SparkSession,
     root: str,
-    years: Iterable[int] | None = None,
+    loads: Iterable[str] | None = None,
     mode: str = "stable",
 ) -> dict[str, int]:
-    """Dimensions and fact from the Silver layer, for all or some years.
+    """Dimensions and fact from the Silver layer, whole or for what some loads touched.
 
-    Only the months present in the input are replaced in the fact and in
-    ``dim_date``. Returns the row counts going in and coming out, which differ
-    only if a dimension is not unique.
+    Every month that one of ``loads`` has rows in is replaced in the fact and in
+    ``dim_date``, from the rows of all loads. Returns the row counts going in and
+    coming out, which differ only if a dimension is not unique.
     """
     silver = require_columns(read_silver(spark, root), ["temp"])
-    if years is not None:
-        silver = silver.filter(F.col("year").isin(*years))
+    if loads is not None:
+        silver = silver.filter(in_months(months_of(read_silver(spark, root, loads))))
     update = {"stable": grow_dimension, "rebuild": rebuild_dimension}[mode]
     layout = Layout(root)
     together(

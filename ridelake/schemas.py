@@ -15,14 +15,14 @@ _TYPES = {
 }
 
 
-def _layout(text: str) -> T.StructType:
+def layout(text: str) -> T.StructType:
     fields = [line.split() for line in text.strip().splitlines()]
     return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in fields])
 
 
 # The column names and types below are the published layouts.
 
-RAW_TRIPS = _layout("""
+RAW_TRIPS = layout("""
     ride_id string
     rideable_type string
     started_at string
@@ -38,7 +38,7 @@ RAW_TRIPS = _layout("""
     member_casual string
 """)
 
-RAW_WEATHER = _layout("""
+RAW_WEATHER = layout("""
     STATION string
     DATE string
     LATITUDE string
@@ -69,7 +69,7 @@ RAW_WEATHER = _layout("""
     FRSHTT string
 """)
 
-TYPED_TRIPS = _layout("""
+TYPED_TRIPS = layout("""
     ride_id string
     rideable_type string
     started_at timestamp
@@ -85,7 +85,7 @@ TYPED_TRIPS = _layout("""
     member_casual string
 """)
 
-DAILY_WEATHER = _layout("""
+DAILY_WEATHER = layout("""
     trip_date date
     temp double
     visib double
@@ -95,7 +95,7 @@ DAILY_WEATHER = _layout("""
     frshtt string
 """)
 
-SILVER = _layout("""
+SILVER = layout("""
     ride_id string
     rideable_type string
     member_casual string
@@ -136,7 +136,10 @@ SILVER = _layout("""
     prcp_category string
 """)
 
-DIM_DATE = _layout("""
+# Silver as stored: below the load that delivered the rows, then by month.
+SILVER_STORED = T.StructType([*SILVER.fields, T.StructField("load", T.StringType(), True)])
+
+DIM_DATE = layout("""
     date_key int
     trip_date date
     year int
@@ -146,28 +149,28 @@ DIM_DATE = _layout("""
     season string
 """)
 
-DIM_MEMBER = _layout("""
+DIM_MEMBER = layout("""
     member_key bigint
     member_casual string
 """)
 
-DIM_STATION = _layout("""
+DIM_STATION = layout("""
     station_key bigint
     station_id string
     station_name string
 """)
 
-DIM_BIKE_TYPE = _layout("""
+DIM_BIKE_TYPE = layout("""
     bike_key bigint
     rideable_type string
 """)
 
-DIM_TEMPERATURE = _layout("""
+DIM_TEMPERATURE = layout("""
     temp_key bigint
     temp_category string
 """)
 
-FACT_TRIPS = _layout("""
+FACT_TRIPS = layout("""
     ride_id string
     date_key int
     member_key bigint

@@ -41,7 +41,7 @@ def register(
 
 
 def register_gold(spark: SparkSession, database: str, root: str) -> dict[str, list[str]]:
-    """Register the Silver layer's five dimensions and the fact below ``root``."""
+    """Register the five dimensions and the fact below ``root``."""
     layout = Layout(root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     report = {}
@@ -54,5 +54,9 @@ def register_gold(spark: SparkSession, database: str, root: str) -> dict[str, li
 def register_silver(spark: SparkSession, database: str, root: str) -> list[str]:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     return register(
-        spark, f"{database}.silver_trips", Layout(root).silver(), schemas.SILVER, ("year", "month")
+        spark,
+        f"{database}.silver_trips",
+        Layout(root).silver(),
+        schemas.SILVER_STORED,
+        ("load", "year", "month"),
     )

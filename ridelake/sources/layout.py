@@ -15,8 +15,9 @@ class Layout:
     def raw_weather(self, year: int) -> str:
         return f"{self.root}/raw/weather/{year}_weather.csv"
 
-    def silver(self, year: int | None = None) -> str:
-        return f"{self.root}/silver" if year is None else f"{self.root}/silver/{year}"
+    def silver(self, load: str | None = None) -> str:
+        """The Silver table, or the part of it that one load delivered."""
+        return f"{self.root}/silver" if load is None else f"{self.root}/silver/load={load}"
 
     def dimension(self, name: str) -> str:
         return f"{self.root}/gold/dimensions/{name}"

@@ -93,6 +93,8 @@ def zip_rows(trips: DataFrame, name: str = "drop") -> DataFrame:
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            if frame.empty:
+                continue
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                 body = frame[names].to_csv(index=False, quoting=csv.QUOTE_MINIMAL)

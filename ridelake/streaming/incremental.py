@@ -13,12 +13,17 @@ from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake import schemas
 from ridelake.operators.clean import cast_trips
-from ridelake.plans.lake import BY_MONTH, grow_dimension, stored_dimensions
+from ridelake.plans.lake import (
+    BY_MONTH,
+    grow_dimension,
+    in_months,
+    months_of,
+    stored_dimensions,
+)
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import FACT_INPUTS, KEYED, build_fact, date_members
 from ridelake.rules import SILVER, RuleSet
@@ -27,6 +32,9 @@ from ridelake.sinks.layers import refresh, write_partitioned
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
 
+# The Silver load that streamed rows are stored under.
+LOAD = "arrivals"
+
 
 def arriving_trips(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
     """A stream of raw text trips from CSV files below ``in_dir``."""
@@ -41,13 +49,12 @@ def arriving_trips(spark: SparkSession, in_dir: str, max_files: int | None = Non
     return reader.csv(in_dir)
 
 
-def _absent(rows: DataFrame, path: str, schema: T.StructType, months: list[tuple[int, int]]) -> DataFrame:
+def _absent(
+    rows: DataFrame, path: str, schema: T.StructType, months: list[tuple[int, int]]
+) -> DataFrame:
     """Rows whose ride id the layer at ``path`` lacks for their month."""
     stored = read_or_empty(rows.sparkSession, path, schema)
-    touched = F.lit(False)
-    for year, month in months:
-        touched = touched | ((F.col("year") == year) & (F.col("month") == month))
-    held = stored.filter(touched).select(*BY_MONTH, "ride_id")
+    held = stored.filter(in_months(months)).select(*BY_MONTH, "ride_id")
     return rows.join(held, [*BY_MONTH, "ride_id"], "left_anti")
 
 
@@ -59,13 +66,13 @@ def load_batch(
     arrived = build_silver(cast_trips(raw), daily, replace(rules, dedup_rides=True))
     batch = materialise(arrived, "arrivals")
     # A batch spans few months; each names one partition of the stored layers.
-    months = [(r.year, r.month) for r in batch.select(*BY_MONTH).distinct().collect()]
+    months = months_of(batch)
     if not months:
         return months
 
     def add_silver() -> None:
-        fresh = _absent(batch, layout.silver(), schemas.SILVER, months)
-        write_partitioned(fresh, layout.silver(), BY_MONTH, mode="append")
+        fresh = _absent(batch, layout.silver(), schemas.SILVER_STORED, months)
+        write_partitioned(fresh, layout.silver(LOAD), BY_MONTH, mode="append")
 
     def add_dates() -> None:
         path = layout.dimension("dim_date")

@@ -175,14 +175,14 @@ def test_feature_table(spark):
 def test_catalog_registration(spark):
     root = fresh_path(spark, "lake")
     silver = build_silver(cast_trips(raw_trips(spark, {})), days(spark, {}))
-    write_partitioned(silver, Layout(root).silver(), lake.BY_MONTH)
+    write_partitioned(silver, Layout(root).silver("a"), lake.BY_MONTH)
     lake.silver_to_gold(spark, root)
     register_gold(spark, "mart", root)
     register_silver(spark, "mart", root)
     assert spark.table("mart.fact_trips").count() == spark.table("mart.silver_trips").count() == 1
     # New partitions appear on the next registration, new columns are added.
     write_partitioned(
-        silver.withColumns({"year": F.lit(2025), "ride_id": F.lit("r2")}), Layout(root).silver(), lake.BY_MONTH
+        silver.withColumns({"year": F.lit(2025), "ride_id": F.lit("r2")}), Layout(root).silver("b"), lake.BY_MONTH
     )
     assert register_silver(spark, "mart", root) == []
     assert rows(spark.table("mart.silver_trips"), "year", "ride_id") == [(2024, "r1"), (2025, "r2")]

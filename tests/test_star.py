@@ -67,7 +67,7 @@ def test_fact_does_not_fan_out_and_resolves_keys(spark):
 
 def load(spark, root, *changes):
     trips = cast_trips(raw_trips(spark, *changes))
-    lake.write_silver(trips, days(spark, {}), root)
+    lake.write_silver(trips, days(spark, {}), root, changes[0]["started_at"][:4])
 
 
 def year_of(year, station, n):
@@ -83,12 +83,12 @@ def year_of(year, station, n):
 def test_second_year_leaves_the_first_unchanged(spark):
     root = fresh_path(spark, "lake")
     load(spark, root, *year_of(2023, "Z", 3))
-    assert lake.silver_to_gold(spark, root, [2023]) == {"silver_rows": 3, "fact_rows": 3}
+    assert lake.silver_to_gold(spark, root, ["2023"]) == {"silver_rows": 3, "fact_rows": 3}
     before = lake.read_gold(spark, root)
     old_fact, old_stations = rows(before["fact_trips"]), set(rows(before["dim_station"]))
 
     load(spark, root, *year_of(2024, "A", 4))
-    assert lake.silver_to_gold(spark, root, [2024]) == {"silver_rows": 4, "fact_rows": 4}
+    assert lake.silver_to_gold(spark, root, ["2024"]) == {"silver_rows": 4, "fact_rows": 4}
     after = lake.read_gold(spark, root)
     assert rows(after["fact_trips"].filter("year = 2023")) == old_fact
     assert after["fact_trips"].count() == 7
@@ -98,7 +98,7 @@ def test_second_year_leaves_the_first_unchanged(spark):
 
     # Loading the same year again changes nothing.
     kept = {name: rows(table) for name, table in after.items()}
-    lake.silver_to_gold(spark, root, [2024])
+    lake.silver_to_gold(spark, root, ["2024"])
     assert {name: rows(t) for name, t in lake.read_gold(spark, root).items()} == kept
 
 
@@ -153,3 +153,19 @@ def test_unknown_category_gets_the_unknown_key(spark):
     silver = build_silver(cast_trips(raw_trips(spark, {}, late)), days(spark, {}), rules)
     fact = star.build_fact(silver, star.build_dimensions(silver))
     assert rows(fact, "ride_id", "temp_key", "temperature") == [("r1", 1, 76.2), ("x", -1, None)]
+
+
+def test_a_stray_trip_does_not_replace_its_month(spark):
+    root = fresh_path(spark, "lake")
+    load(spark, root, *year_of(2023, "Z", 3))
+    lake.silver_to_gold(spark, root, ["2023"])
+    # The next year's files hold one more trip of July 2023.
+    stray = {**year_of(2023, "Z", 1)[0], "ride_id": "stray"}
+    load(spark, root, *year_of(2024, "A", 2), stray)
+    assert lake.silver_to_gold(spark, root, ["2024"]) == {"silver_rows": 6, "fact_rows": 6}
+    fact = lake.read_gold(spark, root)["fact_trips"]
+    assert rows(fact.groupBy("year").count()) == [(2023, 4), (2024, 2)]
+    # Loading it again without the stray trip removes that one only.
+    load(spark, root, *year_of(2024, "A", 2))
+    lake.silver_to_gold(spark, root)
+    assert rows(lake.read_gold(spark, root)["fact_trips"].groupBy("year").count()) == [(2023, 3), (2024, 2)]

@@ -46,7 +46,7 @@ def test_drops_equal_one_batch(spark):
 
     once = fresh_path(spark, "batch")
     changes = [trip(1, "07-11"), trip(2, "08-01"), trip(4, "07-12"), trip(5, "09-09")]
-    lake.write_silver(cast_trips(raw_trips(spark, *changes)), daily, once)
+    lake.write_silver(cast_trips(raw_trips(spark, *changes)), daily, once, "all")
     lake.silver_to_gold(spark, once)
     batch = lake.read_gold(spark, once)
     assert named(gold) == named(batch)
@@ -61,7 +61,7 @@ def test_a_repeated_batch_adds_only_what_is_missing(spark):
     root, daily = fresh_path(spark, "retry"), days(spark, {})
     batch = raw_trips(spark, trip(1, "07-11"), trip(2, "07-12"))
     # As after a crash between the layers: Silver is there, the fact is not.
-    lake.write_silver(cast_trips(batch), daily, root)
+    lake.write_silver(cast_trips(batch), daily, root, "2024")
     assert load_batch(batch, daily, root) == [(2024, 7)]
     kept = {n: rows(t) for n, t in lake.read_gold(spark, root).items()}
     load_batch(batch, daily, root)
@@ -79,7 +79,7 @@ def test_only_touched_months_are_read(spark):
     root, daily = fresh_path(spark, "prune"), days(spark, {})
     load_batch(raw_trips(spark, trip(1, "07-11"), trip(2, "08-11")), daily, root)
     batch = lake.read_silver(spark, root).filter("month = 8")
-    missing = _absent(batch, Layout(root).silver(), schemas.SILVER, [(2024, 8)])
+    missing = _absent(batch, Layout(root).silver(), schemas.SILVER_STORED, [(2024, 8)])
     assert missing.count() == 0
     plan = missing._jdf.queryExecution().executedPlan().toString()
     held = plan[plan.rindex("FileScan"):]
