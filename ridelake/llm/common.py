@@ -169,4 +169,5 @@ def components(edges: DataFrame, left: str, right: str, label: str = "links") ->
         if tuple(now) == before:
             break
         before = tuple(now)
-    return pairs.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+    ends = pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(pairs.select("v", "v"))
+    return ends.groupBy("node").agg(F.min("component").alias("component"))

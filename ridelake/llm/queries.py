@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import fingerprint, langid, packing, toxicity, urls
+from ridelake.llm import fingerprint, jaccard, langid, packing, toxicity, urls
 from ridelake.llm.common import table
 from ridelake.session import materialise
 
@@ -28,6 +28,10 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     lexicon = toxicity.fit(docs, labels.where(_fold_of("doc_id", 5) != 0))
@@ -57,6 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op4_fingerprint": op4_fingerprint,
+    "op7_jaccard": op7_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
