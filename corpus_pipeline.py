@@ -1 +1,68 @@
-"""Documents to packed training sequences."""
+"""Documents to packed training sequences: the stages, and a run over all of them.
+
+Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of ``documents``.
+Null texts: the first stage rejects them. Rows with a null doc_id are never near-duplicates of others and stay.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ridelake.llm import jaccard, langid, mixing, packing, pii
+from ridelake.llm.common import table, without
+from ridelake.session import materialise
+
+PII_KEY = b"replace this key in production"
+LEAST_SCORE = 0.5  # share of a text's letters that its language must have
+NEAR, WIDTH = "0.8", 5  # similarity and words of a shingle of near-duplicates
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language (no letters, or none for half of them) go; the language found becomes ``lang``."""
+    found = langid.identify(docs, langid.fit(docs), carry=True)
+    kept = found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.col("found.lang_pred")).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    groups = jaccard.join(docs, similarity=NEAR, width=WIDTH)
+    gone = materialise(groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "near-duplicates")
+    return without(docs, gone, "doc_id")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets become surrogates; ``n_chars`` follows the text."""
+    return pii.replace(docs, PII_KEY).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled so that sources, languages and kinds of content have evened-out shares of the tokens."""
+    return mixing.mix(docs).where("mix.kept").select(docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's pieces lie in sequences of 4096 tokens."""
+    pieces = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(materialise(pieces, "pieces"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+    ("sequences", sequences),
+]
+
+# SQL can express neither the Viterbi paths, nor the tokenizer, nor the fitted packing.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

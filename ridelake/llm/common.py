@@ -141,6 +141,50 @@ def shingle_hashes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]
     return out, out_begin
 
 
+BLOOM_BITS = 1 << 26  # most bits of a filter over ids (8 MB)
+
+
+def id_filter(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """A Bloom filter of bounded size over integer ids; what reaches the driver is the filter, in words of 64 bits."""
+    count = ids.count()
+    bits = min(BLOOM_BITS, 1 << max(12, (16 * max(count, 1)).bit_length()))
+    spots = F.explode(F.array(*filter_spots(column, bits)))
+    words = ids.select(spots.alias("spot")).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("mask"))
+    held = np.zeros(bits // 64, dtype=np.int64)
+    for batch in words.toArrow().to_batches():
+        held[batch.column("word").to_numpy()] = batch.column("mask").to_numpy()
+    return held.view(np.uint64), bits
+
+
+def filter_spots(column: str, bits: int) -> list:
+    return [F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(bits)).alias(f"__spot{seed}") for seed in range(3)]
+
+
+def maybe_in(batch: pa.RecordBatch, words: np.ndarray) -> np.ndarray:
+    there = np.ones(batch.num_rows, dtype=bool)
+    for seed in range(3):
+        spot = batch.column(f"__spot{seed}").to_numpy().astype(np.uint64)
+        there &= (words[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return there
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``ids`` (one column named like it). Rows that a filter tells apart stay where they are;
+    only those it cannot are joined by a shuffle."""
+    words, bits = id_filter(ids, key)
+    held = docs.sparkSession.sparkContext.broadcast(words)
+    columns = docs.columns
+
+    def part(wanted: bool):
+        def keep(batches):
+            for batch in batches:
+                yield batch.select(columns).filter(pa.array(maybe_in(batch, held.value) == wanted))
+
+        return docs.withColumns({f"__spot{k}": c for k, c in enumerate(filter_spots(key, bits))}).mapInArrow(keep, docs.schema)
+
+    return part(False).union(part(True).join(ids, key, "left_anti").select(columns))
+
+
 def components(edges: DataFrame, left: str, right: str, label: str = "links") -> DataFrame:
     """(node, component): the smallest node reachable over undirected ``edges``.
 

@@ -9,7 +9,7 @@ Jaccard distance is a metric, so what is known about distances to a pivot bounds
    shingles; such a shingle is a neighbourhood, and the neighbourhood's pivot is the set with the lowest
    priority. Each set is measured against the pivots of its neighbourhoods, wherever it lies; a set within the
    threshold belongs to the pivot's region and joins its component.
-3. A neighbourhood that is still not one component is joined recursively. By the triangle inequality only those of
+3. The sets around a pivot that are not all of its component are joined recursively. By the triangle inequality only those of
    the pivot's region in the window next to the outermost others are replicated to it. Large ones are cut into blocks
    of outer members by blocks of all; within a block the sets are dealt to Voronoi regions of more pivots,
    boundary sets to every region within twice the threshold of their nearest, until few are left; these take their
@@ -30,15 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import components, mix64, parts, shingle_hashes, sliced
+from ridelake.llm.common import components, filter_spots, id_filter, maybe_in, mix64, parts, shingle_hashes, sliced
+from ridelake.operators.lookup import sized
 from ridelake.session import materialise
 
-LOW = np.uint64(1 << 62)  # hashes under it, a quarter, stand for a set in the first test
 WHOLE = 128  # sets up to this size (and their possible partners) are sent whole
 OUTER, BLOCK = 256, 1024  # members of a block of pivots, and of the block they are compared with
 NOBODY = np.uint32(0xFFFFFFFF)
 CELL = 48  # sets that take turns as pivots instead of being dealt to regions
-BLOOM_BITS = 1 << 26  # most bits of the filter that finds the texts again (8 MB)
 
 
 class Threshold:
@@ -47,6 +46,8 @@ class Threshold:
     def __init__(self, similarity: Fraction):
         self.num, self.den = similarity.numerator, similarity.denominator
         self.distance = 1 - self.num / self.den + 1e-9
+        # hashes under it stand for a set in the first test: 5/3 of the share that a partner may lack
+        self.low = np.uint64(min((1 << 63) - 1, int((1 << 64) * (1 - similarity) * 5 / 3)))
 
     def needed(self, n):
         """Shingles of a set of ``n`` that any partner must hold."""
@@ -67,13 +68,13 @@ def _class(s: np.ndarray) -> int:
     """One signed 64-bit number per distinct set."""
     if not len(s):
         return 0
-    total = mix64(np.array([mix64(s).sum() ^ np.bitwise_xor.reduce(s) * np.uint64(0x9E3779B97F4A7C15)], dtype=np.uint64) + np.uint64(len(s)))
-    return int(total.astype(np.int64)[0])
+    both = np.array([mix64(s).sum(), np.bitwise_xor.reduce(s)], dtype=np.uint64)
+    return int((mix64(both[:1] + np.uint64(len(s))) ^ mix64(both[1:])).astype(np.int64)[0])
 
 
 def _sent(s: np.ndarray, limit: Threshold) -> tuple[np.ndarray, int]:
     """The shingles that stand for the set in the first test, in order, and how many of them any partner sends too."""
-    low = int(np.searchsorted(s, LOW))
+    low = int(np.searchsorted(s, limit.low))
     if len(s) <= WHOLE:
         return s, len(s)
     return (s, low) if len(s) * limit.num <= WHOLE * limit.den else (s[:low], low)
@@ -118,7 +119,8 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             own = [struct.pack("<?qqqqqq", *m, shared[k]) for k, m in enumerate(meta)]
             rows = [(-1 - int(packet) % n_parts, packet, b"".join(own), b"")]
-            rows += [(b, packet, hashes[lo:hi].tobytes(), whose[lo:hi].tobytes()) for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo]
+            short = np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :6])  # 48 bits; a clash only lets a set through
+            rows += [(b, packet, short[lo:hi].tobytes(), whose[lo:hi].tobytes()) for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "packet", "data", "whose"])
 
     def second(batches):
@@ -131,7 +133,8 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
                 if b < 0:
                     passed.append(k)
                 else:
-                    hashes.append(np.frombuffer(data[k].as_py(), dtype=np.uint64))
+                    short = np.frombuffer(data[k].as_py(), dtype=np.uint8).reshape(-1, 6)
+                    hashes.append(np.pad(short, ((0, 0), (0, 2))).view(np.uint64).ravel())
                     whose.append(np.frombuffer(owners[k].as_py(), dtype=np.uint32))
                     packets.append(ids[k])
             if passed:
@@ -194,33 +197,16 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
     return told.mapInArrow(third, "doc long, n long, class long, near boolean")
 
 
-def _bloom(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """A filter of bounded size over the ids; collected as at most ``BLOOM_BITS / 64`` words."""
-    count = ids.count()
-    bits = min(BLOOM_BITS, 1 << max(12, (16 * max(count, 1)).bit_length()))
-    spots = F.explode(F.array(*[F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(bits)) for seed in range(3)]))
-    words = ids.select(spots.alias("spot")).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("mask"))
-    held = np.zeros(bits // 64, dtype=np.int64)
-    for batch in words.toArrow().to_batches():
-        held[batch.column("word").to_numpy()] = batch.column("mask").to_numpy()
-    return held.view(np.uint64), bits
-
-
 def _again(docs: DataFrame, picked: DataFrame, limit: Threshold, width: int) -> DataFrame:
     """(doc, class, n, low, some, hashes) of the texts whose ids ``picked`` may hold; shuffles no text."""
     spark = docs.sparkSession
-    words, bits = _bloom(picked, "doc")
+    words, bits = id_filter(picked, "doc")
     held = spark.sparkContext.broadcast(words)
-    spots = [F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(bits)).alias(f"spot{seed}") for seed in range(3)]
 
     def shingle(batches):
         for batch in sliced(batches, "text"):
-            there = np.ones(batch.num_rows, dtype=bool)
-            for seed in range(3):
-                spot = batch.column(f"spot{seed}").to_numpy().astype(np.uint64)
-                there &= (held.value[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
-            take = pa.array(np.flatnonzero(there))
-            rows = [(_class(s), len(s), int(np.searchsorted(s, LOW)), s) for s in _sets(batch.column("text").take(take), width)]
+            take = pa.array(np.flatnonzero(maybe_in(batch, held.value)))
+            rows = [(_class(s), len(s), int(np.searchsorted(s, limit.low)), s) for s in _sets(batch.column("text").take(take), width)]
             # neighbourhoods are formed over low shingles; a set with too few of them needs all
             some = [s[:m] if m > n - limit.needed(n) else s for _, n, m, s in rows]
             yield pa.RecordBatch.from_arrays(
@@ -235,7 +221,7 @@ def _again(docs: DataFrame, picked: DataFrame, limit: Threshold, width: int) ->
                 names=["doc", "class", "n", "low", "some", "hashes"],
             )
 
-    rows = docs.where("doc is not null").select("doc", "text", *spots)
+    rows = docs.where("doc is not null").select("doc", "text", *filter_spots("doc", bits))
     return rows.mapInArrow(shingle, "doc long, class long, n long, low long, some array<long>, hashes binary")
 
 
@@ -323,7 +309,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: s
     near = known.where("doc is not null and near")
     classes = materialise(near.groupBy("class").agg(F.min("doc").alias("doc")), "jaccard-classes")
     # the filter lets a few others through; one text of each class stays
-    kept = materialise(_again(rows, classes.select("doc"), limit, width).join(classes, ["doc", "class"], "left_semi"), "jaccard-sets")
+    kept = materialise(_again(rows, classes.select("doc"), limit, width).join(sized(classes), ["doc", "class"], "left_semi"), "jaccard-sets")
     edges = _edges(kept, limit)
     linked = components(edges, "a", "b", "jaccard-links").select(F.col("node").alias("class"), "component")
     member = known.select("doc", F.col("n").alias("n_shingles"), "class")
@@ -340,7 +326,7 @@ def _edges(kept: DataFrame, limit: Threshold) -> DataFrame:
     n_parts = parts(kept.sparkSession)
     post = kept.select("class", "n", "low", F.size("some").alias("all"), F.explode("some").alias("h"))
     counts = post.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    high = F.expr(f"h < 0 or h >= {int(LOW)}")
+    high = F.expr(f"h < 0 or h >= {int(limit.low)}")
     common = post.join(counts, "h").groupBy("class").agg(
         *[F.max(c).alias(c) for c in ("n", "low", "all")],
         F.sort_array(F.collect_list(F.when(~high, F.struct("df", "h")))).alias("lows"),
@@ -359,50 +345,41 @@ def _edges(kept: DataFrame, limit: Threshold) -> DataFrame:
     keys = materialise(keys, "jaccard-keys")
     # pivots: the lowest priority of each neighbourhood, so that neighbourhoods of the same sets choose alike
     pivots = keys.groupBy("h").agg(F.min(F.struct(F.xxhash64("class").alias("first"), "class", "n")).alias("p"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = keys.join(pivots.select("h", F.col("p.class").alias("pivot"), F.col("p.n").alias("pivot_n"), "size"), "h")
-    fits = (limit.num * F.greatest("n", "pivot_n") <= limit.den * F.least("n", "pivot_n"))
-    pairs = met.where("class <> pivot").groupBy("pivot", "class").agg(F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n"), F.max("size").alias("size"))
-    pairs = materialise(pairs, "jaccard-pairs")
-    near = _measure(pairs.where(fits), kept, limit, n_parts)
-    near = materialise(near, "jaccard-measured")
+    met = keys.join(pivots.select("h", F.col("p.class").alias("pivot"), F.col("p.n").alias("pivot_n")), "h").where("class <> pivot")
+    pairs = materialise(met.groupBy("pivot", "class").agg(F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n")), "jaccard-pairs")
+    sizes = materialise(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")), "jaccard-sizes")
+    pairs = pairs.join(sizes, "pivot")
+    fits = limit.num * F.greatest("n", "pivot_n") <= limit.den * F.least("n", "pivot_n")
+    near = materialise(_measure(pairs.where(fits), kept, limit, n_parts), "jaccard-measured")
     first = near.where("near").select(F.col("pivot").alias("a"), F.col("class").alias("b"))
     comp = materialise(components(first, "a", "b", "jaccard-regions").select(F.col("node").alias("class"), "component"), "jaccard-parts")
-    # neighbourhoods of more than one component whose pairs were not all measured
-    label = comp.select("class", "component")
-    held = met.where("size > 2").join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    held = held.join(label.select(F.col("class").alias("pivot"), F.col("component").alias("region")), "pivot", "left").withColumn("region", F.coalesce("region", "pivot"))
-    held = held.where("class <> pivot").withColumn("outer", F.col("component") != F.col("region"))
-    mixed = held.groupBy("h").agg(
-        F.sum(F.col("outer").cast("long")).alias("outers"), F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("mark"),
-        F.min(F.when(F.col("outer"), F.col("n"))).alias("least_n"), F.max(F.when(F.col("outer"), F.col("n"))).alias("most_n"), F.min("pivot").alias("pivot"),
-    ).where("outers > 0 and members > 1")
-    # the same members under several shingles are one neighbourhood
-    once = mixed.groupBy("members", "mark").agg(F.min(F.struct("h", "outers", "least_n", "most_n", "pivot")).alias("x")).select("members", "x.*")
-    gap = near.select("pivot", "class", "gap")
-    rest = held.select("h", "class", "n", "component", "outer").join(once, "h").join(gap, ["pivot", "class"], "left")
-    # members of the pivot's own region only in the window: by size, and by distance to the pivot
-    edge = rest.where("outer").groupBy("h").agg(F.min(F.coalesce("gap", F.lit(0.0))).alias("closest"))
-    rest = rest.join(edge, "h").where(
-        F.col("outer")
-        | ((limit.num * F.col("n") <= limit.den * F.col("most_n")) & (limit.num * F.col("least_n") <= limit.den * F.col("n")) & (F.coalesce("gap", F.lit(1.0)) >= F.col("closest") - limit.distance))
+    # the sets around a pivot that are not of its component, and what of its component they may reach
+    held = pairs.join(near.select("pivot", "class", "gap"), ["pivot", "class"], "left").join(comp, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    held = held.join(comp.select(F.col("class").alias("pivot"), F.col("component").alias("region")), "pivot", "left")
+    held = materialise(held.withColumn("outer", F.col("component") != F.coalesce("region", "pivot")), "jaccard-held")
+    edge = held.where("outer").groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("outers"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min(F.coalesce("gap", F.lit(0.0))).alias("closest")
     )
+    # by the triangle inequality, only members of the region in the window next to the closest outer one; by size, too
+    window = (F.coalesce("gap", F.lit(1.0)) >= F.col("closest") - limit.distance) & (limit.num * F.col("n") <= limit.den * F.col("most_n")) & (limit.num * F.col("least_n") <= limit.den * F.col("n"))
+    rest = held.join(edge, "pivot").where(F.col("outer") | window)
     spread = lambda count, block: F.ceil(F.col(count) / F.lit(block)).cast("int")
-    rest = rest.withColumn("qs", spread("outers", OUTER)).withColumn("bs", spread("members", BLOCK))
+    rest = rest.where("members > 1").withColumn("qs", spread("outers", OUTER)).withColumn("bs", spread("members", BLOCK))
     rest = rest.withColumn("q", F.pmod(F.xxhash64("class"), F.col("qs")).cast("int")).withColumn("b", F.pmod(F.xxhash64("class", F.lit(7)), F.col("bs")).cast("int"))
     each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    as_member = rest.withColumn("to", each("qs")).select("h", F.col("to").alias("q"), "b", "class", "component", (F.col("outer") & (F.col("q") == F.col("to"))).alias("pivots"))
-    as_pivot = rest.where("outer").withColumn("to", each("bs")).where("to <> b").select("h", "q", F.col("to").alias("b"), "class", "component", F.lit(True).alias("pivots"))
+    as_member = rest.withColumn("to", each("qs")).select("pivot", F.col("to").alias("q"), "b", "class", "component", (F.col("outer") & (F.col("q") == F.col("to"))).alias("pivots"))
+    as_pivot = rest.where("outer").withColumn("to", each("bs")).where("to <> b").select("pivot", "q", F.col("to").alias("b"), "class", "component", F.lit(True).alias("pivots"))
     blocks = materialise(as_member.union(as_pivot), "jaccard-blocks")
-    return first.union(_joined(blocks, kept, limit, n_parts))
+    return first.union(_joined(blocks, kept, n_parts, limit))
 
 
 def _measure(pairs: DataFrame, kept: DataFrame, limit: Threshold, n_parts: int) -> DataFrame:
     """(pivot, class, near, gap) of each pair; a pivot's sets are dealt to as many tasks as they need."""
-    spread = F.ceil(F.col("size") / F.lit(OUTER)).cast("int")
+    spread = F.ceil(F.col("members") / F.lit(OUTER)).cast("int")
     rows = pairs.withColumn("salt", F.pmod(F.xxhash64("class"), spread).cast("int"))
     heads = rows.select("pivot", "salt").distinct()
     wanted = rows.select("pivot", "salt", "class").withColumn("head", F.lit(False)).union(heads.withColumn("class", F.col("pivot")).withColumn("head", F.lit(True)))
-    payload = wanted.join(kept.select("class", "hashes"), "class")
+    payload = kept.select("class", "hashes").join(sized(materialise(wanted, "jaccard-wanted")), "class")
 
     def measure(batches):
         now, pivot, out = None, None, []
@@ -424,8 +401,8 @@ def _measure(pairs: DataFrame, kept: DataFrame, limit: Threshold, n_parts: int)
     return ordered.mapInArrow(measure, "pivot long, class long, near boolean, gap double")
 
 
-def _joined(blocks: DataFrame, kept: DataFrame, limit: Threshold, n_parts: int) -> DataFrame:
-    payload = blocks.join(kept.select("class", "hashes"), "class").select("h", "q", "b", "class", "component", "pivots", "hashes")
+def _joined(blocks: DataFrame, kept: DataFrame, n_parts: int, limit: Threshold) -> DataFrame:
+    payload = kept.select("class", "hashes").join(sized(blocks), "class").select("pivot", "q", "b", "class", "component", "pivots", "hashes")
 
     def run(batches):
         now, rows = None, []
@@ -438,14 +415,14 @@ def _joined(blocks: DataFrame, kept: DataFrame, limit: Threshold, n_parts: int)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for h, q, b, *rest, raw in zip(*(batch.column(c).to_pylist() for c in ("h", "q", "b", "class", "component", "pivots", "hashes"))):
-                if (h, q, b) != now:
+            for p, q, b, *rest, raw in zip(*(batch.column(c).to_pylist() for c in ("pivot", "q", "b", "class", "component", "pivots", "hashes"))):
+                if (p, q, b) != now:
                     if rows:
                         yield solve()
-                    now, rows = (h, q, b), []
+                    now, rows = (p, q, b), []
                 rows.append((*rest, np.frombuffer(raw, dtype=np.uint64)))
         if rows:
             yield solve()
 
-    ordered = payload.repartition(n_parts, "h", "q", "b").sortWithinPartitions("h", "q", "b")
+    ordered = payload.repartition(n_parts, "pivot", "q", "b").sortWithinPartitions("pivot", "q", "b")
     return ordered.mapInArrow(run, "a long, b long")

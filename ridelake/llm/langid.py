@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ridelake.llm.common import record, sliced
 
@@ -209,8 +210,8 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nda
     return labels
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH) -> DataFrame:
-    """(key, lang_pred, score, n_words, spans) for every row.
+def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH, carry: bool = False) -> DataFrame:
+    """(key, lang_pred, score, n_words, spans) for every row; with ``carry``, all columns of ``docs`` and a struct ``found`` of these.
 
     ``spans`` are runs of words of one language: language, first and last word (exclusive, counted over the
     pieces between white space) and letters. ``score`` is the share of the text's letters in spans of the
@@ -218,7 +219,12 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     whose letters belong to no learned script get the commonest language and score 0. Equal totals: the
     language first in order.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    if carry:
+        docs = docs.drop("found")
+        rows, text_at = docs.withColumn(text, F.col(text).cast("string")), text
+    else:
+        rows, text_at = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")), "text"
+    columns, fields = rows.columns, rows.schema
     held = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("lang", pa.string()), ("first", pa.int32()), ("end", pa.int32()), ("letters", pa.int64())])
     schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()), ("spans", pa.list_(span))])
@@ -226,10 +232,10 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     def label(batches):
         m = held.value
         words, scores, letters = Words(), np.zeros((0, len(m.languages)), np.float32), np.zeros(0, np.int64)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, text_at):
             if len(words) > CACHED:
                 words, scores, letters = Words(), scores[:0], letters[:0]
-            each = [pieces(t) if t else [] for t in batch.column("text").to_pylist()]
+            each = [pieces(t) if t else [] for t in batch.column(text_at).to_pylist()]
             lengths = np.array([len(w) for w in each], dtype=np.int64)
             ids = np.fromiter((words[w] for ws in each for w in ws), dtype=np.int64, count=lengths.sum())
             del each
@@ -256,10 +262,18 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                 score = np.where(total > 0, score, 0.0)
                 spans = _runs(labels, size, lengths, total, m.languages)
             out = record(schema, pred, score, lengths, pa.array(spans, schema.field("spans").type))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *out.columns], names=["key", *schema.names])
+            found_ = pa.StructArray.from_arrays(out.columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, found_], names=[*columns, "found"])
+
+    kind = "struct<lang_pred:string,score:double,n_words:long,spans:array<struct<lang:string,first:int,end:int,letters:long>>>"
+    if carry:
+        return rows.mapInArrow(label, fields.add("found", _parse_datatype_string(kind)))
+
+    def lean(batches):
+        for batch in label(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *batch.column("found").flatten()], names=["key", *schema.names])
 
-    kind = rows.schema["key"].dataType.simpleString()
-    out = rows.mapInArrow(label, f"key {kind}, lang_pred string, score double, n_words long, spans array<struct<lang:string,first:int,end:int,letters:long>>")
+    out = rows.mapInArrow(lean, f"key {rows.schema['key'].dataType.simpleString()}, lang_pred string, score double, n_words long, spans array<struct<lang:string,first:int,end:int,letters:long>>")
     return out.withColumnRenamed("key", key)
 
 

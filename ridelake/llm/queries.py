@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import fingerprint, jaccard, langid, packing, toxicity, urls
+import corpus_pipeline
+from ridelake.llm import chat, fingerprint, jaccard, langid, mixing, packing, pii, toxicity, urls, vectors
 from ridelake.llm.common import table
 from ridelake.session import materialise
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -24,10 +26,30 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_words", F.size("spans").alias("n_spans"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    tree = chat.build(table(spark, sf_dir, "conversations").select(columns).union(extra), BYTE_TOKENIZER)
+    return chat.digests(chat.read_back(tree), "conv_id")
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), corpus_pipeline.PII_KEY)
+
+
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -58,13 +80,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_language": op1_language,
+    "op2_mixing": op2_mixing,
+    "op3_chat": op3_chat,
     "op4_fingerprint": op4_fingerprint,
+    "op5_pii": op5_pii,
+    "op6_vectors": op6_vectors,
     "op7_jaccard": op7_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
 
 _PARSED = """
