@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ridelake.llm.common import record, sliced
 
@@ -99,7 +99,7 @@ class Model:
         foreign = (used > 0) & ((used[:, None] & self.scripts[None, :]) == 0).all(axis=1)
         out[foreign] = 0.0
         out = np.where(barred, -50.0, out / len(LENGTHS))
-        out -= out.max(axis=1, keepdims=True)
+        out -= out.max(axis=1, keepdims=True, initial=-np.inf)
         return np.maximum(out, -50.0), (codes > 0).sum(axis=1)
 
 
@@ -267,7 +267,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
     kind = "struct<lang_pred:string,score:double,n_words:long,spans:array<struct<lang:string,first:int,end:int,letters:long>>>"
     if carry:
-        return rows.mapInArrow(label, fields.add("found", _parse_datatype_string(kind)))
+        return rows.mapInArrow(label, StructType([*fields, StructField("found", _parse_datatype_string(kind))]))
 
     def lean(batches):
         for batch in label(batches):

@@ -12,12 +12,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.session import materialise
 
 MOST_CELLS = 100_000  # cells raked as one array; more are raked as a table
 ROUNDS, CLOSE = 200, 1e-9
-TEMPER = 0.7  # exponent of the default targets: shares of tokens, evened out
+TEMPER = 0.9  # exponent of the default targets: shares of tokens, evened out
 LEVELS = ("source", "lang", "topic")
 
 
@@ -72,7 +73,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             if worst < CLOSE:
                 break
         frame["weight"] = weight
-        return cells.sparkSession.createDataFrame(frame, cells.schema.add("weight", "double"))
+        return cells.sparkSession.createDataFrame(frame, T.StructType([*cells.schema, T.StructField("weight", T.DoubleType())]))
     return _rake_table(cells, targets, rounds)
 
 

@@ -17,6 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.llm.common import sliced
 from ridelake.session import materialise
@@ -231,7 +232,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     held = again.limit(MOST_REDRAWN + 1).collect()
     rows = docs.drop("n_entities")
     columns, schema = rows.columns, rows.schema
-    out_schema = schema.add("n_entities", "int")
+    out_schema = T.StructType([*(T.StructField(text, T.StringType()) if f.name == text else f for f in schema), T.StructField("n_entities", T.IntegerType())])
     if len(held) <= MOST_REDRAWN:
         table = spark.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in held})
     else:  # each text gets its own redrawn entities, found by a hash of the text
