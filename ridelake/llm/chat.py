@@ -15,6 +15,7 @@ nodes. Nodes are sorted depth first into one stream of tokens. A node carries
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 import pyarrow as pa
@@ -26,6 +27,7 @@ from ridelake.operators.ordering import running_total
 from ridelake.session import materialise
 
 LEARNED = "assistant"
+SLICE_ROWS = 50  # conversations that a task turns into Python values at a time
 _HEAD = re.compile(r"### ((?:[^\\:]|\\.)*):\n", re.DOTALL)
 _BODY = re.compile(r"((?:[^\\<]|\\.)*)</turn>\n", re.DOTALL)
 
@@ -55,6 +57,20 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+_workers: dict[str, object] = {}
+
+
+def _tokenizer(path: str):
+    """One tokenizer per worker process, which encodes in one thread."""
+    if path not in _workers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _workers[path] = Tokenizer.from_file(path)
+        _workers[path].encode_special_tokens = True
+    return _workers[path]
+
+
 def _nodes(turns: list[tuple[str, str]]) -> list[str]:
     """A name per turn, of all turns up to it."""
     held, out = hashlib.sha256(), []
@@ -90,28 +106,28 @@ def build(rows: DataFrame, tokenizer: str, key: str = "conv_id", turn: str = "tu
     )
 
     def spread(batches):
-        from tokenizers import Tokenizer
-
-        tokens = Tokenizer.from_file(tokenizer)
-        tokens.encode_special_tokens = True
+        tokens = _tokenizer(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 whose, out, texts = [], [], []
-                met: set[str] = set()
+                met: dict[str, int] = {}
                 for k, (roles, bodies) in enumerate(zip(part.column("roles").to_pylist(), part.column("texts").to_pylist())):
                     names = _nodes(list(zip(roles, bodies)))
                     for d, (r, b) in enumerate(zip(roles, bodies)):
-                        texts += turn_parts(r, b)
+                        if names[d] not in met:  # shared turns are encoded once
+                            met[names[d]] = len(texts)
+                            texts += turn_parts(r, b)
                         whose.append(k)
                         out.append((names[d], "".join(n[:16] for n in names[: d + 1]), d, r == LEARNED, names[: d + 1]))
-                ids = [e.ids for e in tokens.encode_batch(texts, add_special_tokens=False)]
+                ids = [tokens.encode(t, add_special_tokens=False).ids for t in texts]
                 rows_, position = [], 0
-                for k, (name, path, depth, learned, above) in enumerate(out):
-                    head, body, tail = ids[3 * k : 3 * k + 3]
+                sent: set[str] = set()
+                for name, path, depth, learned, above in out:
+                    head, body, tail = ids[met[name] : met[name] + 3]
                     own = head + body + tail
                     position = 0 if depth == 0 else position
-                    first = name not in met and not met.add(name)
+                    first = name not in sent and not sent.add(name)
                     rows_.append((name, path, depth, position, len(own), len(head) if learned else None, len(body) if learned else None, own if first else None, above if first else None))
                     position += len(own)
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows_), schema)] if rows_ else [pa.array([], f.type) for f in schema]
@@ -120,7 +136,17 @@ def build(rows: DataFrame, tokenizer: str, key: str = "conv_id", turn: str = "tu
     placed = chats.mapInArrow(spread, f"key {kind}, node string, path string, depth int, position long, n_tokens long, loss_at long, loss_n long, ids array<int>, above array<string>")
     placed = materialise(placed, "chat-turns")
     distinct = materialise(placed.where("ids is not null").drop("key").dropDuplicates(["node"]), "chat-nodes")
-    subtree = distinct.select("n_tokens", F.explode("above").alias("node")).groupBy("node").agg(F.sum("n_tokens").alias("below"))
+
+    def add_up(batches):
+        for batch in batches:
+            sums: dict[str, int] = {}
+            for n, above in zip(batch.column("n_tokens").to_pylist(), batch.column("above").to_pylist()):
+                for name in above:
+                    sums[name] = sums.get(name, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["node", "below"])
+
+    # a node's tokens count for all its ancestors; what one batch holds is added up before it travels
+    subtree = distinct.select("n_tokens", "above").mapInArrow(add_up, "node string, below long").groupBy("node").agg(F.sum("below").alias("below"))
     ordered = running_total(distinct.select("node", "path", "n_tokens"), [F.col("path"), F.col("node")], "n_tokens", "end").select("node", "end")
     start = F.col("end") - F.col("n_tokens")
     nodes = distinct.join(ordered, "node").join(subtree, "node").select(
@@ -139,10 +165,8 @@ def read_back(tree: Tree) -> DataFrame:
     kind = turns.schema[key].dataType.simpleString()
 
     def decode(batches):
-        from tokenizers import Tokenizer
-
-        tokens = Tokenizer.from_file(path)
-        for batch in batches:
+        tokens = _tokenizer(path)
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             whole, learned = [], []
             for turns in batch.column("turns").to_pylist():
                 whole.append(tokens.decode([i for t in turns for i in t["ids"]], skip_special_tokens=False))
