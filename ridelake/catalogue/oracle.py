@@ -687,3 +687,18 @@ ORACLE["excessive_distances"] = _trips(
     end_station_name FROM far WHERE trip_distance > 30""",
     f"far AS (SELECT *, {_MILES} AS trip_distance FROM trips)",
 )
+
+_FACT_TEXTS = """SELECT ride_id, year * 10000 + month * 100 + CAST(day(trip_date) AS INTEGER) AS date_key,
+member_casual, rideable_type, temp_category, start_station_id, end_station_id, start_hour,
+trip_distance, ROUND(trip_duration_min, 6) AS trip_duration_min, is_rush_hour, weekend FROM silver"""
+ORACLE["lake_two_years"] = _silver(_FACT_TEXTS)
+ORACLE["lake_corrected_load"] = _silver(f"{_FACT_TEXTS} WHERE year(started_at) <> 1996")
+ORACLE["lake_stream_then_batch"] = _sql([*_EVENTS, _CLEAN_WEATHER, _SILVER], _FACT_TEXTS)
+ORACLE["lake_batch_then_stream"] = ORACLE["lake_stream_then_batch"]
+_RENAMED = ORDER_TRIPS.replace("), trips AS (", "), plain AS (") + """, trips AS (
+  SELECT * REPLACE (CASE WHEN year(started_at) >= 1994 THEN 'New ' || start_station_name
+                         ELSE start_station_name END AS start_station_name) FROM plain)"""
+ORACLE["dim_station_renamed"] = _sql(
+    [_RENAMED, ORDER_DAYS, WEATHER, _CLEAN_WEATHER, _SILVER, _GOLD],
+    "SELECT station_id, station_name FROM dim_station",
+)

@@ -25,7 +25,14 @@ from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
 from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star
-from ridelake.plans.lake import BY_MONTH, read_gold, read_silver
+from ridelake.plans.lake import (
+    BY_MONTH,
+    read_gold,
+    read_silver,
+    rename_stations,
+    silver_to_gold,
+    write_silver,
+)
 from ridelake.rules import RAIN_SILVER, SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK, WIND
 from ridelake.session import fresh_path, materialise
 from ridelake.sinks.catalog import register_gold
@@ -404,7 +411,12 @@ def stream_two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = rows.select(*[F.col(n).cast("string").alias(n) for n in schemas.RAW_TRIPS.names])
         text.write.option("header", True).csv(f"{base}/in/{drop}")
         run_incremental(spark, f"{base}/in", daily, f"{base}/lake", f"{base}/checkpoint")
-    gold = read_gold(spark, f"{base}/lake")
+    return fact_with_texts(spark, f"{base}/lake")
+
+
+def fact_with_texts(spark: SparkSession, root: str) -> DataFrame:
+    """The stored fact, its keys resolved to the texts they stand for."""
+    gold = read_gold(spark, root)
     facts = gold["fact_trips"]
     for dim in (star.MEMBER, star.BIKE_TYPE, star.TEMPERATURE):
         facts = left_lookup(facts, sized(gold[dim.name]), dim.key)
@@ -421,6 +433,71 @@ def stream_two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lake_two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that meet in some months, each carried to Gold alone: later keys leave earlier rows right."""
+    root = fresh_path(spark, "two-years")
+    trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
+    first = (F.year("started_at") < 1995) | ((F.year("started_at") == 1995) & (F.col("ride_id").cast("long") % 2 == 0))
+    for load, rows in (("early", trips.filter(first)), ("late", trips.filter(~first))):
+        write_silver(rows, daily, root, load)
+        silver_to_gold(spark, root, [load])
+    return fact_with_texts(spark, root)
+
+
+def lake_corrected_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load written again without one of its years: the year leaves the fact."""
+    root = fresh_path(spark, "corrected")
+    trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
+    for rows in (trips, trips.filter(F.year("started_at") != 1996)):
+        write_silver(rows, daily, root, "orders")
+        silver_to_gold(spark, root, ["orders"])
+    return fact_with_texts(spark, root)
+
+
+def _as_files(rows: DataFrame, path: str) -> None:
+    text = rows.select(*[F.col(n).cast("string").alias(n) for n in schemas.RAW_TRIPS.names])
+    text.write.option("header", True).csv(path)
+
+
+def _both_ways(spark: SparkSession, sf_dir: str, stream_first: bool) -> DataFrame:
+    """The same rides by files that arrive and by a batch load; each counts once."""
+    base = fresh_path(spark, "both-ways")
+    daily, raw = event_weather(spark, sf_dir), event_trips(spark, sf_dir)
+    _as_files(raw, f"{base}/in/all")
+
+    def stream() -> None:
+        run_incremental(spark, f"{base}/in", daily, f"{base}/lake", f"{base}/checkpoint")
+
+    def batch() -> None:
+        write_silver(materialise(clean.typed(raw, schemas.TYPED_TRIPS), "event-trips"), daily, f"{base}/lake", "events")
+        silver_to_gold(spark, f"{base}/lake", ["events"])
+
+    for step in (stream, batch) if stream_first else (batch, stream):
+        step()
+    return fact_with_texts(spark, f"{base}/lake")
+
+
+def lake_stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _both_ways(spark, sf_dir, True)
+
+
+def lake_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _both_ways(spark, sf_dir, False)
+
+
+def dim_station_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations after a second load under other names and a renaming over both."""
+    root = fresh_path(spark, "renamed")
+    trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
+    early = F.year("started_at") < 1994
+    renamed = trips.filter(~early).withColumn("start_station_name", F.concat(F.lit("New "), "start_station_name"))
+    for load, rows in (("early", trips.filter(early)), ("late", renamed)):
+        write_silver(rows, daily, root, load)
+        silver_to_gold(spark, root, [load])
+    rename_stations(spark, root)
+    return read_gold(spark, root)["dim_station"].select("station_id", "station_name")
+
+
 def event_duration_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average duration per day at full sub-second precision."""
     return as_text(demand.average_duration_by_day(event_trips(spark, sf_dir)))
@@ -522,5 +599,10 @@ QUERIES: dict[str, Query] = {
     "missing_layer": missing_layer,
     "gold_catalog": gold_catalog,
     "stream_two_drops": stream_two_drops,
+    "lake_two_years": lake_two_years,
+    "lake_corrected_load": lake_corrected_load,
+    "lake_stream_then_batch": lake_stream_then_batch,
+    "lake_batch_then_stream": lake_batch_then_stream,
+    "dim_station_renamed": dim_station_renamed,
     "event_duration_by_day": event_duration_by_day,
 }

@@ -7,30 +7,43 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridelake import schemas
+from ridelake import paths, schemas
 from ridelake.operators.clean import cast_trips, require_columns
 from ridelake.operators.lookup import fits, sized
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import (
     FACT_INPUTS,
     KEYED,
+    STATION,
     Dimension,
     build_fact,
     date_members,
     members_of,
     new_members,
+    station_members,
     upsert_dimension,
 )
 from ridelake.rules import SILVER, RuleSet
-from ridelake.session import materialise, together
-from ridelake.sinks.layers import append_rows, refresh, swap_table, write_partitioned
+from ridelake.session import materialise, scratch, together
+from ridelake.sinks.layers import (
+    append_rows,
+    drop_partitions,
+    recover,
+    refresh,
+    swap_table,
+    write_partitioned,
+)
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
 from ridelake.sources.trips import read_trips
 from ridelake.sources.weather import load_weather
 
 BY_MONTH = ["year", "month"]
+# The Silver load that streamed rows are stored under.
+ARRIVALS = "arrivals"
+_MONTHS = "year int, month int"
 
 
 def write_silver(
@@ -47,12 +60,51 @@ def write_silver(
 
     A load, such as the files of one year, may hold a few trips of a month that
     mostly belongs to another load. Loads are stored apart, so writing one never
-    takes rows from another.
+    takes rows from another, except from the arrivals: a ride that a batch load
+    delivers supersedes its streamed copy, whichever came first. The months
+    that changed, those that lost all rows among them, are noted for Gold.
     """
+    spark, layout = trips.sparkSession, Layout(root)
+
+    def months() -> set[tuple[int, int]]:
+        return set(months_of(read_or_empty(spark, layout.silver(load), schemas.SILVER)))
+
     silver = build_silver(trips, daily, rules, holiday_years)
-    write_partitioned(
-        silver, Layout(root).silver(load), BY_MONTH, dynamic=False, clustered=clustered
-    )
+    touched = months()
+    note_changes(spark, root, load, touched)
+    write_partitioned(silver, layout.silver(load), BY_MONTH, dynamic=False, clustered=clustered)
+    refresh(spark, layout.silver(load))
+    touched = months() - touched
+    if load != ARRIVALS:
+        touched |= supersede_arrivals(spark, root, load)
+    note_changes(spark, root, load, touched)
+
+
+def note_changes(spark: SparkSession, root: str, load: str, months: set[tuple[int, int]]) -> None:
+    if months:
+        append_rows(spark.createDataFrame(sorted(months), _MONTHS).coalesce(1), Layout(root).changes(load))
+
+
+def supersede_arrivals(spark: SparkSession, root: str, load: str) -> set[tuple[int, int]]:
+    """Drop the arrivals that ``load`` holds too; returns the months they were in.
+
+    The arrivals' ids are measured and, if small, sent to the load's scan, so
+    that neither side is shuffled.
+    """
+    layout = Layout(root)
+    stored = read_or_empty(spark, layout.silver(ARRIVALS), schemas.SILVER)
+    ids = materialise(stored.select(*BY_MONTH, "ride_id"), "arrival-ids")
+    delivered = spark.read.schema(schemas.SILVER).parquet(layout.silver(load)).select("ride_id")
+    held = delivered.join(sized(ids.select("ride_id").distinct()), "ride_id", "left_semi").distinct()
+    gone = materialise(ids.join(held, "ride_id", "left_semi"), "superseded")
+    months = months_of(gone)
+    if months:
+        kept = stored.filter(in_months(months)).join(sized(gone.select("ride_id")), "ride_id", "left_anti")
+        staged = materialise(kept, "arrivals-kept")
+        write_partitioned(staged, layout.silver(ARRIVALS), BY_MONTH)
+        drop_partitions(spark, layout.silver(ARRIVALS), BY_MONTH, sorted(set(months) - set(months_of(staged))))
+        refresh(spark, layout.silver(ARRIVALS))
+    return set(months)
 
 
 def read_silver(spark: SparkSession, root: str, loads: Iterable[str] | None = None) -> DataFrame:
@@ -69,10 +121,11 @@ def months_of(silver: DataFrame) -> list[tuple[int, int]]:
 
 def in_months(months: list[tuple[int, int]]) -> Column:
     """A filter on the partition columns, so that other months are not read."""
-    hit = F.lit(False)
-    for year, month in months:
-        hit = hit | ((F.col("year") == year) & (F.col("month") == month))
-    return hit
+    if not months:
+        return F.lit(False)
+    years = [year for year, _ in months]
+    number = F.col("year") * 100 + F.col("month")
+    return F.col("year").between(min(years), max(years)) & number.isin([y * 100 + m for y, m in months])
 
 
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -104,7 +157,9 @@ def raw_to_silver(
     layout = Layout(root)
     trips = cast_trips(read_trips(spark, layout.raw_trips(year)))
     daily = load_weather(spark, layout.raw_weather(year), weather_date_format)
-    write_silver(trips, sized(materialise(daily, "weather")), root, str(year), rules, [year], clustered=True)
+    with scratch(spark):
+        weather = sized(materialise(daily, "weather"))
+        write_silver(trips, weather, root, str(year), rules, [year], clustered=True)
 
 
 def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
@@ -113,6 +168,7 @@ def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     Safe to repeat: a second run finds nothing new.
     """
     spark, path = silver.sparkSession, Layout(root).dimension(dim.name)
+    recover(spark, path)
     existing = read_or_empty(spark, path, dim.schema)
     added = new_members(members_of(silver, dim), existing, dim)
     if added is not None:
@@ -123,6 +179,7 @@ def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
 def rebuild_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
     """Number all members again; only right when the whole fact is rewritten too."""
     path = Layout(root).dimension(dim.name)
+    recover(silver.sparkSession, path)
     existing = read_or_empty(silver.sparkSession, path, dim.schema)
     swap_table(upsert_dimension(members_of(silver, dim), existing, dim, mode="rebuild"), path)
 
@@ -146,19 +203,35 @@ def silver_to_gold(
 ) -> dict[str, int]:
     """Dimensions and fact from the Silver layer, whole or for what some loads touched.
 
-    Every month that one of ``loads`` has rows in is replaced in the fact and in
-    ``dim_date``, from the rows of all loads. Returns the row counts going in and
-    coming out, which differ only if a dimension is not unique.
+    Every month that one of ``loads`` has rows in, or had before it was written
+    again, is replaced in the fact and in ``dim_date``, from the rows of all
+    loads; a month without rows is removed. A whole run replaces all months. The
+    ``rebuild`` mode changes keys and therefore needs a whole run. Returns the
+    row counts going in and coming out, which differ only if a dimension is not
+    unique; ``stored_counts`` tells what the fact then holds.
     """
+    if mode == "rebuild" and loads is not None:
+        raise ValueError("rebuild changes the keys of all months; run it without loads")
+    with scratch(spark):
+        return _to_gold(spark, root, None if loads is None else list(loads), mode)
+
+
+def _to_gold(spark: SparkSession, root: str, loads: list[str] | None, mode: str) -> dict[str, int]:
     silver = require_columns(read_silver(spark, root), ["temp"])
+    months: list[tuple[int, int]] = []
     if loads is not None:
-        silver = silver.filter(in_months(months_of(read_silver(spark, root, loads))))
+        noted = read_or_empty(spark, Layout(root).changes(), T.StructType.fromDDL(f"{_MONTHS}, load string"))
+        changed = months_of(noted.filter(F.col("load").isin(*loads)))
+        months = sorted({*months_of(read_silver(spark, root, loads)), *changed})
+        silver = silver.filter(in_months(months))
     update = {"stable": grow_dimension, "rebuild": rebuild_dimension}[mode]
     layout = Layout(root)
     together(
         spark,
         *[partial(update, silver, root, dim) for dim in KEYED],
-        lambda: write_partitioned(date_members(silver), layout.dimension("dim_date"), BY_MONTH),
+        lambda: write_partitioned(
+            date_members(silver), layout.dimension("dim_date"), BY_MONTH, dynamic=loads is not None
+        ),
     )
     dimensions, all_broadcast = stored_dimensions(spark, root)
     rows_in, rows_out = Observation("silver_rows"), Observation("fact_rows")
@@ -168,5 +241,51 @@ def silver_to_gold(
     fact = build_fact(counted, dimensions).observe(rows_out, F.count(F.lit(1)).alias("n"))
     # Silver is stored by month. As long as no lookup shuffles, its scan tasks
     # still hold one month each when the fact is written.
-    write_partitioned(fact, layout.fact, BY_MONTH, clustered=all_broadcast)
-    return {"silver_rows": rows_in.get["n"], "fact_rows": rows_out.get["n"]}
+    write_partitioned(fact, layout.fact, BY_MONTH, dynamic=loads is not None, clustered=all_broadcast)
+    counts_now = {"silver_rows": rows_in.get["n"], "fact_rows": rows_out.get["n"]}
+    empty = sorted(set(months) - set(months_of(silver)))
+    for path in (layout.fact, layout.dimension("dim_date")):
+        drop_partitions(spark, path, BY_MONTH, empty)
+        refresh(spark, path)
+    for load in [None] if loads is None else loads:
+        paths.remove(spark, layout.changes(load))
+    return counts_now
+
+
+def stored_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(year, month, fact_rows, silver_rows) as stored; they differ where Gold has not followed Silver."""
+    facts = read_or_empty(spark, Layout(root).fact, schemas.FACT_TRIPS).groupBy(*BY_MONTH).agg(F.count(F.lit(1)).alias("fact_rows"))
+    silver = read_silver(spark, root).groupBy(*BY_MONTH).agg(F.count(F.lit(1)).alias("silver_rows"))
+    return facts.join(silver, BY_MONTH, "full").na.fill(0, ["fact_rows", "silver_rows"])
+
+
+def rename_stations(spark: SparkSession, root: str) -> None:
+    """Give every station its most frequent name over all Silver loads; keys stay.
+
+    Loads only add stations, under the most frequent name of the load that
+    brings them. This reads three columns of the whole of Silver, so it is a
+    job of its own.
+    """
+    path = Layout(root).dimension(STATION.name)
+    recover(spark, path)
+    with scratch(spark):
+        names = materialise(station_members(read_silver(spark, root)), "station-names")
+        stored = spark.read.schema(STATION.schema).parquet(path)
+        named = stored.join(names.withColumnRenamed("station_name", "now"), STATION.natural, "left")
+        known = F.coalesce("now", "station_name").alias("station_name")
+        swap_table(named.select(*[known if c == "station_name" else c for c in stored.columns]), path)
+
+
+def compact(spark: SparkSession, root: str, months: list[tuple[int, int]], files: int = 1) -> None:
+    """Rewrite the arrivals and the fact of some months into few files each.
+
+    Every streamed batch appends a file per month. ``files`` bounds the files of
+    a month; the default suits months below the size of one file.
+    """
+    layout = Layout(root)
+    with scratch(spark):
+        for path, schema in ((layout.silver(ARRIVALS), schemas.SILVER), (layout.fact, schemas.FACT_TRIPS)):
+            rows = materialise(read_or_empty(spark, path, schema).filter(in_months(months)), "compact")
+            salted = rows.repartition(max(1, len(months) * files), *BY_MONTH, F.floor(F.rand(7) * files))
+            write_partitioned(salted, path, BY_MONTH, clustered=True)
+            refresh(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,53 +182,52 @@ def duration_histogram(
     """Equal-width histogram of trip minutes with densities; empty bins included.
 
     The last bin is closed, the others half-open. Without bounds the range is
-    that of the positive durations, found by one more pass.
+    that of the positive durations, a one-row aggregate of the same plan. If all
+    durations are equal, they are in the first bin and no density is given; without
+    durations all bins are empty.
     """
     minutes = trips.filter(F.col("ended_at") > F.col("started_at")).select(
         _fractional_minutes().alias("minutes")
     )
+    every = trips.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     if low is None or high is None:
-        seen = minutes.agg(F.min("minutes").alias("low"), F.max("minutes").alias("high")).first()
-        low, high = seen["low"], seen["high"]
-    width = (high - low) / bins
-    position = F.floor((F.col("minutes") - low) / width).cast("int")
+        found = F.broadcast(minutes.agg(F.min("minutes").alias("__least"), F.max("minutes").alias("__most")))
+        minutes, every = minutes.join(found, F.lit(True)), every.join(found, F.lit(True))
+    bottom = F.col("__least") if low is None else F.lit(float(low))
+    top = F.col("__most") if high is None else F.lit(float(high))
+    width = (top - bottom) / bins
+    position = F.coalesce(F.floor(F.try_divide(F.col("minutes") - bottom, width)).cast("int"), F.lit(0))
     counts = (
-        minutes.filter(F.col("minutes").between(low, high))
+        minutes.filter(F.col("minutes").between(bottom, top))
         .groupBy(F.least(position, F.lit(bins - 1)).alias("bin"))
         .agg(F.count("*").alias("trips"))
     )
-    every = trips.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     filled = every.join(counts, "bin", "left").withColumn("trips", F.coalesce("trips", F.lit(0)))
     # At most ``bins`` rows are left here, so one task may sum them.
     total = F.sum("trips").over(Window.partitionBy())
     return filled.select(
         "bin",
-        (low + F.col("bin") * width).alias("from_minute"),
+        (bottom + F.col("bin") * width).alias("from_minute"),
         "trips",
-        F.round(F.col("trips") / (total * width), 8).alias("density"),
+        F.round(F.try_divide(F.col("trips"), total * width), 8).alias("density"),
     ).orderBy("bin")
 
 
-def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+def correlations(df: DataFrame, columns: list[str], at_once: int = 8) -> DataFrame:
     """Pearson correlation of every column pair over all rows, NULLs skipped pairwise.
 
-    Pairs become the rows of a small grouped aggregate, so that any number of
-    columns takes one scan and one compiled loop; one aggregate expression per
-    pair outgrows code generation at a handful of columns.
+    Each scan computes ``at_once`` pairs as plain aggregates: few enough for one
+    compiled loop, and no row is multiplied by the number of pairs.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    points = numbers.select(
-        F.posexplode(
-            F.array(*[F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
-        ).alias("pair", "at")
-    )
-    measured = points.groupBy("pair").agg(F.round(F.corr("at.x", "at.y"), 6).alias("r"))
-
-    def named(side: int):
-        return F.get(F.array(*[F.lit(pair[side]) for pair in pairs]), F.col("pair"))
-
-    return measured.select(named(0).alias("x"), named(1).alias("y"), "r")
+    tables = []
+    for at in range(0, len(pairs), at_once):
+        some = pairs[at : at + at_once]
+        row = numbers.agg(*[F.corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(some)])
+        named = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(f"r{k}", 6).alias("r")) for k, (a, b) in enumerate(some)]
+        tables.append(row.select(F.inline(F.array(*named))))
+    return reduce(DataFrame.unionAll, tables)
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:

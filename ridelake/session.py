@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from ridelake import paths
+
 # AQE settings the plans in this library rely on: partition counts are chosen
 # from measured shuffle sizes, skewed join partitions are split, and output
 # partitions are rebalanced. The initial count only has to be large enough.
@@ -36,6 +39,8 @@ def build_session(app: str = "ridelake", master: str | None = None, **conf: str)
 
 
 _local_folders: dict[str, str] = {}
+# What ``materialise`` has written, in order.
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,10 +72,28 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     checkpoint, keeps column pruning and file-size statistics for the planner.
     """
     path = fresh_path(df.sparkSession, label)
+    _written.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``materialise`` stores inside this scope when it ends.
+
+    For jobs whose results are written elsewhere. Relations returned from the
+    scope must not read its stored tables, and scopes of one application must
+    not overlap in time, unless one lies inside the other.
+    """
+    start = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[start:]:
+            paths.remove(spark, path)
+        del _written[start:]
+
+
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list[object]:
     """Submit independent Spark jobs at the same time and wait for all of them.
 

@@ -18,6 +18,10 @@ GOLD_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 }
 
 
+def _plain(location: str) -> str:
+    return location.removeprefix("file:").rstrip("/").replace("//", "/")
+
+
 def register(
     spark: SparkSession,
     table: str,
@@ -25,17 +29,29 @@ def register(
     schema: T.StructType,
     partitions: tuple[str, ...] = (),
 ) -> list[str]:
-    """Create or update one external table; returns the columns it had to add."""
+    """Create or update one external table; returns the columns it had to add.
+
+    A registration for another location is replaced; the data stays where it is.
+    A column stored under another type than declared is an error.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    if spark.catalog.tableExists(table):
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        if _plain(detail.get("Location", "")) != _plain(location):
+            spark.sql(f"DROP TABLE {table}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{by} LOCATION '{location}'")
-    known = set(spark.table(table).columns)
+    stored = {f.name: f.dataType for f in spark.table(table).schema}
+    known = set(stored)
+    drift = [f"{f.name}: {stored[f.name].simpleString()} is not {f.dataType.simpleString()}" for f in schema if f.name in known and stored[f.name] != f.dataType]
+    if drift:
+        raise ValueError(f"{table} differs from its declaration: {'; '.join(drift)}")
     added = [f for f in schema if f.name not in known]
     if added:
         new = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({new})")
     if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     return [f.name for f in added]
 

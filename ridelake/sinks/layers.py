@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridelake import paths
+
 
 def write_layer(df: DataFrame, path: str, *, max_files: int | None = None) -> None:
     """Replace an unpartitioned layer.
@@ -44,25 +46,36 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("compression", "snappy").parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, by: list[str], keys: list[tuple]) -> None:
+    """Remove the partitions of the layer at ``path`` that ``keys`` name."""
+    for key in keys:
+        paths.remove(spark, "/".join([path, *[f"{name}={value}" for name, value in zip(by, key)]]))
+    if keys:
+        spark.catalog.refreshByPath(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back the version that a swap had moved aside when it was cut off."""
+    if not paths.exists(spark, path) and paths.exists(spark, f"{path}.old"):
+        paths.rename(spark, f"{path}.old", path)
+
+
 def swap_table(df: DataFrame, path: str) -> None:
     """Replace ``path`` with ``df``, which may itself be read from ``path``.
 
-    The new version is complete beside the old one before either is renamed;
-    after a crash the previous version is still there as ``<path>.old``.
+    The new version is complete beside the old one before either is renamed.
+    A crash between the renames leaves the old version as ``<path>.old``, which
+    ``recover`` (and the next swap) puts back.
     """
     spark = df.sparkSession
-    staged = f"{path}.new-{uuid.uuid4().hex[:8]}"
+    staged, old = f"{path}.new-{uuid.uuid4().hex[:8]}", f"{path}.old"
     df.write.mode("errorifexists").option("compression", "snappy").parquet(staged)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target, new, old = (hadoop.Path(p) for p in (path, staged, f"{path}.old"))
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.delete(old, True)
-        if not files.rename(target, old):
-            raise OSError(f"cannot move {path} aside")
-    if not files.rename(new, target):
-        raise OSError(f"cannot move {staged} to {path}")
-    files.delete(old, True)
+    recover(spark, path)
+    if paths.exists(spark, path):
+        paths.remove(spark, old)
+        paths.rename(spark, path, old)
+    paths.rename(spark, staged, path)
+    paths.remove(spark, old)
     spark.catalog.refreshByPath(path)
 
 

@@ -19,6 +19,10 @@ class Layout:
         """The Silver table, or the part of it that one load delivered."""
         return f"{self.root}/silver" if load is None else f"{self.root}/silver/load={load}"
 
+    def changes(self, load: str | None = None) -> str:
+        """Months of Silver that were rewritten and that Gold has not followed yet."""
+        return f"{self.root}/silver_changes" if load is None else f"{self.root}/silver_changes/load={load}"
+
     def dimension(self, name: str) -> str:
         return f"{self.root}/gold/dimensions/{name}"
 

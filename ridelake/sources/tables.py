@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ridelake import paths
 from ridelake.operators.clean import typed
 
 
@@ -23,12 +23,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
     Only a missing path counts as empty; any other failure is raised.
     """
-    try:
+    if paths.exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def sql_over_path(spark: SparkSession, path: str, query: str) -> DataFrame:

@@ -73,7 +73,10 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
                                 raw, dtype=str, keep_default_na=False, na_values=[""],
                                 encoding="utf-8-sig", chunksize=lines,
                             ):
-                                rows = chunk.reindex(columns=names)
+                                missing = [n for n in names if n not in chunk.columns]
+                                if missing:
+                                    raise ValueError(f"{path}: {member} lacks {', '.join(missing)}")
+                                rows = chunk[names].copy()
                                 rows.insert(0, "source", path)
                                 yield rows
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ridelake import schemas
 from ridelake.operators.clean import cast_trips
 from ridelake.plans.lake import (
+    ARRIVALS,
     BY_MONTH,
     grow_dimension,
     in_months,
@@ -27,14 +28,12 @@ from ridelake.plans.lake import (
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import FACT_INPUTS, KEYED, build_fact, date_members
 from ridelake.rules import SILVER, RuleSet
-from ridelake.session import materialise, together
+from ridelake.operators.lookup import sized
+from ridelake.session import materialise, scratch, together
 from ridelake.sinks.layers import refresh, write_partitioned
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
 
-# The Silver load that streamed rows are stored under.
-LOAD = "arrivals"
-
 
 def arriving_trips(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
     """A stream of raw text trips from CSV files below ``in_dir``."""
@@ -53,15 +52,23 @@ def _absent(
     rows: DataFrame, path: str, schema: T.StructType, months: list[tuple[int, int]]
 ) -> DataFrame:
     """Rows whose ride id the layer at ``path`` lacks for their month."""
-    stored = read_or_empty(rows.sparkSession, path, schema)
-    held = stored.filter(in_months(months)).select(*BY_MONTH, "ride_id")
-    return rows.join(held, [*BY_MONTH, "ride_id"], "left_anti")
+    keys = [*BY_MONTH, "ride_id"]
+    stored = read_or_empty(rows.sparkSession, path, schema).filter(in_months(months)).select(*keys)
+    # A month holds far more rides than a batch. The batch's ids, measured and
+    # sent to the scan, leave only the few that both have.
+    held = stored.join(sized(rows.select(*keys).distinct()), keys, "left_semi")
+    return rows.join(held, keys, "left_anti")
 
 
 def load_batch(
     raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet = SILVER
 ) -> list[tuple[int, int]]:
     """Add one batch of raw trips to both layers; returns the months it touched."""
+    with scratch(raw.sparkSession):
+        return _load_batch(raw, daily, root, rules)
+
+
+def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) -> list[tuple[int, int]]:
     spark, layout = raw.sparkSession, Layout(root)
     arrived = build_silver(cast_trips(raw), daily, replace(rules, dedup_rides=True))
     batch = materialise(arrived, "arrivals")
@@ -72,7 +79,7 @@ def load_batch(
 
     def add_silver() -> None:
         fresh = _absent(batch, layout.silver(), schemas.SILVER_STORED, months)
-        write_partitioned(fresh, layout.silver(LOAD), BY_MONTH, mode="append")
+        write_partitioned(fresh, layout.silver(ARRIVALS), BY_MONTH, mode="append")
 
     def add_dates() -> None:
         path = layout.dimension("dim_date")

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from ridelake.catalogue.oracle import ORACLE
+from ridelake.catalogue.queries import QUERIES
 
 TABLES = ("orders", "events")
 
@@ -31,14 +33,15 @@ def canonical(records, columns):
 
 def test_registry_is_consistent():
     assert set(registry.oracle_sql()) <= set(registry.queries())
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"footprint"}
+    assert set(QUERIES) - set(ORACLE) == {"footprint"}
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLE) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, engine, name):
-    df = registry.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = canonical(df.collect(), df.columns)
-    sql = registry.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     if sql is None:
         assert got
         return
