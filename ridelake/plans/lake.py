@@ -276,6 +276,28 @@ def rename_stations(spark: SparkSession, root: str) -> None:
         swap_table(named.select(*[known if c == "station_name" else c for c in stored.columns]), path)
 
 
+def refresh_weather(spark: SparkSession, root: str, daily: DataFrame, rules: RuleSet = SILVER) -> list[tuple[int, int]]:
+    """Join the weather again to arrivals that were stored before their weather, and carry them to Gold.
+
+    Only the months that hold such rides on a day that ``daily`` (stored, one row
+    per date) now has are rewritten; they are returned.
+    """
+    path = Layout(root).silver(ARRIVALS)
+    with scratch(spark):
+        stored = read_or_empty(spark, path, schemas.SILVER)
+        late = stored.filter(F.col("temp").isNull()).join(sized(daily.select("trip_date")), "trip_date", "left_semi")
+        months = months_of(late)
+        if months:
+            note_changes(spark, root, ARRIVALS, set(months))
+            trips = stored.filter(in_months(months)).select(*schemas.TYPED_TRIPS.names)
+            again = materialise(build_silver(trips, sized(daily), rules), "weather-again")
+            write_partitioned(again, path, BY_MONTH)
+            refresh(spark, Layout(root).silver())
+    if months:
+        silver_to_gold(spark, root, [ARRIVALS])
+    return months
+
+
 def compact(spark: SparkSession, root: str, months: list[tuple[int, int]], files: int = 1) -> None:
     """Rewrite the arrivals and the fact of some months into few files each.
 
