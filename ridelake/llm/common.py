@@ -14,7 +14,7 @@ from ridelake.session import materialise
 
 # Bytes of text that a task turns into arrays at a time. Arrow batches are cut to
 # it, so that a task's memory follows this figure and its longest text only.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ SLOTS = 1 << 16  # hashed n-gram slots per length
 LENGTHS = (1, 2, 3, 4)
 WIDEST = 32  # letters of one word that are scored; longer runs are scored in pieces of it
 ROWS_PER_LANGUAGE = 1500  # bound on labelled rows per language that the model is fitted on
-CACHED = 400_000  # distinct words whose scores a task keeps
+CACHED = 200_000  # distinct words whose scores a task keeps
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:

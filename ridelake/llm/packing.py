@@ -25,7 +25,7 @@ SEQUENCE = 4096  # tokens
 UNIT = 8  # tokens that lengths are rounded up to
 DEPTH = 3  # documents in a pattern
 SHORT_WEIGHT = 0.1  # of lengths under 1/16 of a sequence in the fit: they can fill gaps later
-CACHED = 2_000_000  # distinct words whose tokens a worker keeps
+CACHED = 800_000  # distinct words whose tokens a worker keeps
 
 _SAFE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer's own splitting pattern (a fixed value of its file), for these letters in lower case.
