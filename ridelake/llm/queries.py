@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridelake.llm import chat, fingerprint, jaccard, langid, mixing, packing, pii, toxicity, urls, vectors
+from ridelake.llm import chat, fingerprint, jaccard, langid, mixing, packing, pii, quality, toxicity, urls, vectors
 from ridelake.llm.common import table
 from ridelake.session import materialise
 
@@ -80,6 +80,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
+    "op12_quality": op12_quality,
     "pipeline": pipeline,
 }
 
