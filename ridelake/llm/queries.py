@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridelake.llm import chat, fingerprint, jaccard, langid, mixing, packing, pii, quality, toxicity, urls, vectors
+from ridelake.llm import align, chat, fingerprint, jaccard, langid, mixing, packing, pii, quality, toxicity, urls, vectors
 from ridelake.llm.common import table
 from ridelake.session import materialise
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -84,6 +85,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(align.align(table(spark, sf_dir, "documents"), align.Tokenizers(BYTE_TOKENIZER, PIECE_TOKENIZER)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -100,6 +105,7 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
     "op12_quality": op12_quality,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 
