@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridelake.llm import align, chat, fingerprint, jaccard, langid, mixing, packing, pii, quality, toxicity, urls, vectors
+from ridelake.llm import align, chat, fingerprint, jaccard, langid, mixing, negatives, packing, pii, quality, toxicity, urls, vectors
 from ridelake.llm.common import table
 from ridelake.session import materialise
 
@@ -81,6 +81,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=relabelled)
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
+    "op11_negatives": op11_negatives,
     "op12_quality": op12_quality,
     "op13_alignment": op13_alignment,
     "pipeline": pipeline,
@@ -126,5 +132,25 @@ ORACLE = {
     FROM parsed JOIN rules ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p))
 SELECT parsed.page_id, parsed.host, parsed.path, best.rule, coalesce(best.v, 'allow') AS verdict
 FROM parsed LEFT JOIN best ON parsed.page_id = best.page_id AND place = 1
+""",
+    "op11_negatives": """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id AND len(r.v) = len(a.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE place <= 3
 """,
 }
