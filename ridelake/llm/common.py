@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,13 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` is called so."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with at most ``most`` bytes in ``column`` (or one row)."""
     for batch in batches:
@@ -39,6 +49,28 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             start = stop
 
 
+def tidily(task: Callable) -> Callable:
+    """``task`` (a function of Arrow batches); when it ends, its worker gives back the memory it took.
+
+    Workers outlive tasks and queries. What the allocators of Python and Arrow keep for later adds up over the stages
+    of a pipeline, next to a JVM that needs the room.
+    """
+
+    @wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            _powers.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(columns, schema)],
@@ -173,16 +205,17 @@ def without(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     only those it cannot are joined by a shuffle."""
     words, bits = id_filter(ids, key)
     held = docs.sparkSession.sparkContext.broadcast(words)
-    columns = docs.columns
+    names, columns = docs.columns, [f"c{k}" for k in range(len(docs.columns))]
+    plain, ids, key = docs.toDF(*columns), ids.withColumnRenamed(key, columns[names.index(key)]), columns[names.index(key)]
 
     def part(wanted: bool):
         def keep(batches):
             for batch in batches:
                 yield batch.select(columns).filter(pa.array(maybe_in(batch, held.value) == wanted))
 
-        return docs.withColumns({f"__spot{k}": c for k, c in enumerate(filter_spots(key, bits))}).mapInArrow(keep, docs.schema)
+        return plain.withColumns({f"__spot{k}": c for k, c in enumerate(filter_spots(key, bits))}).mapInArrow(tidily(keep), plain.schema)
 
-    return part(False).union(part(True).join(ids, key, "left_anti").select(columns))
+    return part(False).union(part(True).join(ids, key, "left_anti").select(columns)).toDF(*names)
 
 
 def components(edges: DataFrame, left: str, right: str, label: str = "links") -> DataFrame:

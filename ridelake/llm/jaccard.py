@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import components, filter_spots, id_filter, maybe_in, mix64, parts, shingle_hashes, sliced
+from ridelake.llm.common import components, filter_spots, id_filter, maybe_in, mix64, parts, shingle_hashes, sliced, tidily
 from ridelake.operators.lookup import sized
 from ridelake.session import materialise
 
@@ -124,27 +124,33 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "packet", "data", "whose"])
 
     def second(batches):
-        packets, hashes, whose = [], [], []
+        """One bucket of hashes after another; a packet's own description passes through."""
+        now, packets, hashes, whose = None, [], [], []
         for batch in batches:
-            bucket = batch.column("bucket").to_pylist()
             data, owners, ids = batch.column("data"), batch.column("whose"), batch.column("packet").to_pylist()
             passed = []
-            for k, b in enumerate(bucket):
+            for k, b in enumerate(batch.column("bucket").to_pylist()):
                 if b < 0:
                     passed.append(k)
-                else:
-                    short = np.frombuffer(data[k].as_py(), dtype=np.uint8).reshape(-1, 6)
-                    hashes.append(np.pad(short, ((0, 0), (0, 2))).view(np.uint64).ravel())
-                    whose.append(np.frombuffer(owners[k].as_py(), dtype=np.uint32))
-                    packets.append(ids[k])
+                    continue
+                if b != now and packets:
+                    yield answered(packets, hashes, whose)
+                    packets, hashes, whose = [], [], []
+                now = b
+                short = np.frombuffer(data[k].as_py(), dtype=np.uint8).reshape(-1, 6)
+                hashes.append(np.pad(short, ((0, 0), (0, 2))).view(np.uint64).ravel())
+                whose.append(np.frombuffer(owners[k].as_py(), dtype=np.uint32))
+                packets.append(ids[k])
             if passed:
                 take = pa.array(passed)
                 yield pa.RecordBatch.from_arrays([batch.column("packet").take(take), data.take(take), pa.array([None] * len(passed), pa.binary())], names=["packet", "meta", "counts"])
-        if not hashes:
-            return
+        if packets:
+            yield answered(packets, hashes, whose)
+
+    def answered(packets, hashes, whose) -> pa.RecordBatch:
+        """For each packet, how many of its sets' hashes in this bucket another one holds."""
         flat, owner = np.concatenate(hashes), np.concatenate(whose)
         source = np.repeat(np.arange(len(packets)), [len(h) for h in hashes])
-        del hashes, whose
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         twice = np.zeros(len(flat), dtype=bool)
@@ -154,18 +160,10 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
         hit[order] = twice
         hit &= owner != NOBODY
         key, count = np.unique(source[hit].astype(np.uint64) << np.uint64(32) | owner[hit], return_counts=True)
-        which = (key >> np.uint64(32)).astype(np.int64)
-        cuts = np.searchsorted(which, np.arange(len(packets) + 1))
+        cuts = np.searchsorted((key >> np.uint64(32)).astype(np.int64), np.arange(len(packets) + 1))
         pairs = np.stack([key & np.uint64(0xFFFFFFFF), count.astype(np.uint64)], axis=1).astype(np.uint32)
-        # buckets of one packet that lie in this task are answered together
-        answers: dict[int, list[bytes]] = {}
-        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if hi > lo:
-                answers.setdefault(packets[k], []).append(pairs[lo:hi].tobytes())
-        rows = list(answers.items())
-        for at in range(0, len(rows), 2000):
-            part = rows[at : at + 2000]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in part], pa.int64()), pa.array([None] * len(part), pa.binary()), pa.array([b"".join(a) for _, a in part], pa.binary())], names=["packet", "meta", "counts"])
+        rows = [(packets[k], pairs[lo:hi].tobytes()) for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo]
+        return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int64()), pa.array([None] * len(rows), pa.binary()), pa.array([a for _, a in rows], pa.binary())], names=["packet", "meta", "counts"])
 
     def third(batches):
         """Answers come sorted by packet, its own rows' description among them."""
@@ -192,9 +190,9 @@ def _screen(docs: DataFrame, limit: Threshold, width: int) -> DataFrame:
         out = [(doc if known else None, n, cls, bool(n and found[same] >= tested - (n - limit.needed(n)))) for known, doc, n, cls, same, tested, _ in rows]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], names=["doc", "n", "class", "near"])
 
-    dealt = docs.mapInArrow(first, "bucket int, packet long, data binary, whose binary").repartition(n_parts, "bucket")
-    told = dealt.mapInArrow(second, "packet long, meta binary, counts binary").repartition(n_parts, "packet").sortWithinPartitions("packet")
-    return told.mapInArrow(third, "doc long, n long, class long, near boolean")
+    dealt = docs.mapInArrow(tidily(first), "bucket int, packet long, data binary, whose binary").repartition(n_parts, "bucket").sortWithinPartitions("bucket")
+    told = dealt.mapInArrow(tidily(second), "packet long, meta binary, counts binary").repartition(n_parts, "packet").sortWithinPartitions("packet")
+    return told.mapInArrow(tidily(third), "doc long, n long, class long, near boolean")
 
 
 def _again(docs: DataFrame, picked: DataFrame, limit: Threshold, width: int) -> DataFrame:
@@ -222,7 +220,7 @@ def _again(docs: DataFrame, picked: DataFrame, limit: Threshold, width: int) ->
             )
 
     rows = docs.where("doc is not null").select("doc", "text", *filter_spots("doc", bits))
-    return rows.mapInArrow(shingle, "doc long, class long, n long, low long, some array<long>, hashes binary")
+    return rows.mapInArrow(tidily(shingle), "doc long, class long, n long, low long, some array<long>, hashes binary")
 
 
 def _common(pivot: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -398,7 +396,7 @@ def _measure(pairs: DataFrame, kept: DataFrame, limit: Threshold, n_parts: int)
                 out = []
 
     ordered = payload.select("pivot", "salt", "head", "class", "hashes").repartition(n_parts, "pivot", "salt").sortWithinPartitions("pivot", "salt", F.desc("head"))
-    return ordered.mapInArrow(measure, "pivot long, class long, near boolean, gap double")
+    return ordered.mapInArrow(tidily(measure), "pivot long, class long, near boolean, gap double")
 
 
 def _joined(blocks: DataFrame, kept: DataFrame, n_parts: int, limit: Threshold) -> DataFrame:
@@ -425,4 +423,4 @@ def _joined(blocks: DataFrame, kept: DataFrame, n_parts: int, limit: Threshold)
             yield solve()
 
     ordered = payload.repartition(n_parts, "pivot", "q", "b").sortWithinPartitions("pivot", "q", "b")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(tidily(run), "a long, b long")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import sliced, words_of
+from ridelake.llm.common import sliced, tidily, words_of
 from ridelake.session import materialise
 
 SEQUENCE = 4096  # tokens
 UNIT = 8  # tokens that lengths are rounded up to
 DEPTH = 3  # documents in a pattern
 SHORT_WEIGHT = 0.1  # of lengths under 1/16 of a sequence in the fit: they can fill gaps later
-CACHED = 800_000  # distinct words whose tokens a worker keeps
+CACHED = 800_000  # distinct words whose tokens a task keeps
 
 _SAFE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer's own splitting pattern (a fixed value of its file), for these letters in lower case.
@@ -33,7 +34,7 @@ _SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-
 
 
 class WordTokens:
-    """Token ids of texts; each word between white space is encoded once per worker.
+    """Token ids of texts; each word between white space is encoded once per task.
 
     The tokenizer drops white space and joins nothing across it, so a text's ids are those of its words in order.
     Words are told apart by 64-bit hashes, a batch at a time. A new word of ASCII and Latin-1 letters is split by the
@@ -102,7 +103,10 @@ class WordTokens:
         return ids, np.append(0, end)[begin]
 
 
-_workers: dict[str, WordTokens] = {}
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> WordTokens:
+    """One for each worker; what it has learned of words ends with the task."""
+    return WordTokens(path)
 
 
 def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end_id: int = 1, with_ids: bool = False) -> DataFrame:
@@ -116,9 +120,7 @@ def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text"
     kind = rows.schema["key"].dataType.simpleString()
 
     def pieces(batches):
-        if tokenizer not in _workers:
-            _workers[tokenizer] = WordTokens(tokenizer)
-        tokens, part, seen = _workers[tokenizer], TaskContext.get().partitionId(), {}
+        tokens, part, seen = _loaded(tokenizer), TaskContext.get().partitionId(), {}
         for batch in sliced(batches, "text"):
             which, out, ids_out = [], [], []
             flat, begin = tokens.encode(batch.column("text"))
@@ -138,8 +140,9 @@ def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text"
                 [batch.column("key").take(pa.array(which, pa.int64())), *columns, *extra],
                 names=["key", "piece", "start", "length", "ids_crc32", "part", "nth", *["ids"] * with_ids],
             )
+        tokens._forget()
 
-    out = rows.mapInArrow(pieces, f"key {kind}, piece int, start long, length long, ids_crc32 long, part int, nth long" + ", ids array<int>" * with_ids)
+    out = rows.mapInArrow(tidily(pieces), f"key {kind}, piece int, start long, length long, ids_crc32 long, part int, nth long" + ", ids array<int>" * with_ids)
     return out.withColumnRenamed("key", key)
 
 
