@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from ridelake.llm.common import record, sliced
+from ridelake.llm.common import record, sliced, tidily, unused
 
 # Scripts by ranges of code points.
 SCRIPTS = {
@@ -31,20 +31,22 @@ SCRIPTS = {
     "georgian": [(0x10A0, 0x10FF)],
     "hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7AF)],
     "kana": [(0x3040, 0x30FF)],
-    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF)],
+    "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 
 SWITCH = 12.0  # natural-log units that a change of language costs
 SLOTS = 1 << 16  # hashed n-gram slots per length
 LENGTHS = (1, 2, 3, 4)
+CODE_POINTS = 0x110000
+MOST_LANGUAGES = 1000  # the driver and each task hold a table of SLOTS numbers for every one
 WIDEST = 32  # letters of one word that are scored; longer runs are scored in pieces of it
 ROWS_PER_LANGUAGE = 1500  # bound on labelled rows per language that the model is fitted on
 CACHED = 200_000  # distinct words whose scores a task keeps
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """Of each code point of the basic plane: is it a letter, and the bit of its script (others share one)."""
-    letter = np.fromiter((chr(c).isalpha() for c in range(0x10000)), dtype=bool, count=0x10000)
+    """Of each code point: is it a letter, and the bit of its script (others share one)."""
+    letter = np.fromiter((chr(c).isalpha() for c in range(CODE_POINTS)), dtype=bool, count=CODE_POINTS)
     script = np.where(letter, 1 << len(SCRIPTS), 0).astype(np.uint32)
     for bit, ranges in enumerate(SCRIPTS.values()):
         for low, high in ranges:
@@ -59,8 +61,7 @@ def _codes(words: list[str]) -> np.ndarray:
     """Code points by word and place, a zero column on both sides; zero where there is no letter."""
     raw = np.array(words, dtype=f"U{WIDEST}").view(np.uint32).reshape(len(words), WIDEST)
     codes = np.zeros((len(words), WIDEST + 2), dtype=np.uint32)
-    low = np.minimum(raw, 0xFFFF)
-    codes[:, 1:-1] = np.where(_LETTER[low], raw, 0)
+    codes[:, 1:-1] = np.where(_LETTER[raw], raw, 0)
     return codes
 
 
@@ -93,7 +94,7 @@ class Model:
                 there = np.flatnonzero(column >= 0)
                 if len(there):
                     out[there] += self.tables[i][column[there]]
-        used = np.bitwise_or.reduce(_SCRIPT[np.minimum(codes, 0xFFFF)], axis=1)
+        used = np.bitwise_or.reduce(_SCRIPT[codes], axis=1)
         barred = (used[:, None] & self.scripts[None, :]) == 0
         barred &= (~barred).any(axis=1, keepdims=True) & (used > 0)[:, None]
         foreign = (used > 0) & ((used[:, None] & self.scripts[None, :]) == 0).all(axis=1)
@@ -123,6 +124,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int =
     counts = {r["lang"]: r["n"] for r in labelled.select(F.col(lang).cast("string").alias("lang")).dropna().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model([], np.zeros(0, np.uint32), np.zeros((len(LENGTHS), SLOTS, 0)), np.zeros(0))
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{len(counts)} languages; the model holds {MOST_LANGUAGES}")
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows / n)))])
     kept = held.where((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000.0) < share[F.col("lang")])
     schema = pa.schema([("lang", pa.string()), ("counts", pa.list_(pa.int64())), ("scripts", pa.list_(pa.int64()))])
@@ -141,7 +144,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int =
                     for i, length in enumerate(LENGTHS):
                         slots = _slots(codes, length)
                         n[i] += np.bincount(slots[slots >= 0], minlength=SLOTS)
-                    seen = np.bitwise_or.reduce(_SCRIPT[np.minimum(codes, 0xFFFF)], axis=1)
+                    seen = np.bitwise_or.reduce(_SCRIPT[codes], axis=1)
                     used += np.array([(seen >> b & 1).sum() for b in range(bits)], dtype=np.int64)
         for name, (n, used) in sums.items():
             # sparse: the slots in use and their counts, one after the other
@@ -152,7 +155,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int =
     place = {name: k for k, name in enumerate(languages)}
     n = np.zeros((len(LENGTHS), SLOTS, len(languages)))
     used = np.zeros((len(languages), bits))
-    for row in kept.mapInArrow(count, "lang string, counts array<long>, scripts array<long>").toLocalIterator():
+    for row in kept.mapInArrow(tidily(count), "lang string, counts array<long>, scripts array<long>").toLocalIterator():
         flat = np.array(row["counts"], dtype=np.int64).reshape(2, -1)
         n[:, :, place[row["lang"]]] += np.bincount(flat[0], flat[1], len(LENGTHS) * SLOTS).reshape(len(LENGTHS), SLOTS)
         used[place[row["lang"]]] += row["scripts"]
@@ -184,7 +187,7 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nda
     if not len(lengths) or not lengths[0]:
         return labels
     alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")  # texts with a word at each step
-    came = np.zeros(scores.shape, dtype=np.int8)
+    came = np.zeros(scores.shape, dtype=np.int16)
     state = scores[begin[: alive[0]]]
     last = np.zeros(len(lengths), dtype=np.int64)
     for t in range(1, lengths[0]):
@@ -211,7 +214,8 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.nda
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH, carry: bool = False) -> DataFrame:
-    """(key, lang_pred, score, n_words, spans) for every row; with ``carry``, all columns of ``docs`` and a struct ``found`` of these.
+    """(key, lang_pred, score, n_words, spans) for every row; with ``carry``, all columns of ``docs`` and, last, a struct of these
+    (``found``, or ``common.unused`` of it).
 
     ``spans`` are runs of words of one language: language, first and last word (exclusive, counted over the
     pieces between white space) and letters. ``score`` is the share of the text's letters in spans of the
@@ -219,8 +223,8 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     whose letters belong to no learned script get the commonest language and score 0. Equal totals: the
     language first in order.
     """
+    extra = unused(docs, "found")
     if carry:
-        docs = docs.drop("found")
         rows, text_at = docs.withColumn(text, F.col(text).cast("string")), text
     else:
         rows, text_at = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")), "text"
@@ -263,17 +267,17 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
                 spans = _runs(labels, size, lengths, total, m.languages)
             out = record(schema, pred, score, lengths, pa.array(spans, schema.field("spans").type))
             found_ = pa.StructArray.from_arrays(out.columns, names=schema.names)
-            yield pa.RecordBatch.from_arrays([*batch.columns, found_], names=[*columns, "found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found_], names=[*columns, extra])
 
     kind = "struct<lang_pred:string,score:double,n_words:long,spans:array<struct<lang:string,first:int,end:int,letters:long>>>"
     if carry:
-        return rows.mapInArrow(label, StructType([*fields, StructField("found", _parse_datatype_string(kind))]))
+        return rows.mapInArrow(tidily(label), StructType([*fields, StructField(extra, _parse_datatype_string(kind))]))
 
     def lean(batches):
         for batch in label(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *batch.column("found").flatten()], names=["key", *schema.names])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *batch.column(extra).flatten()], names=["key", *schema.names])
 
-    out = rows.mapInArrow(lean, f"key {rows.schema['key'].dataType.simpleString()}, lang_pred string, score double, n_words long, spans array<struct<lang:string,first:int,end:int,letters:long>>")
+    out = rows.mapInArrow(tidily(lean), f"key {rows.schema['key'].dataType.simpleString()}, lang_pred string, score double, n_words long, spans array<struct<lang:string,first:int,end:int,letters:long>>")
     return out.withColumnRenamed("key", key)
 
 
