@@ -4,8 +4,11 @@ Each entity is reduced to a canonical value (a phone number's national digits, a
 and the value is permuted by a keyed Feistel network within its own format, so equal entities get equal surrogates wherever and
 however they are written, and different ones of a format get different ones. Lengths, punctuation, letter case, top-level
 domains, country codes and check digits are kept. Names after a title are replaced word by word by invented ones of the
-same script and gender; a family name alone and with a given name gets the same surrogate. All distinct entities are checked
-together: where a surrogate is some real value, or two values would meet, the greater value is drawn again.
+same script and gender; a family name alone and with a given name gets the same surrogate, and so does every other mention of
+these names in the same text, with or without a title. All distinct entities are checked
+together: where a surrogate is some real value, or two values would meet, the greater value is drawn again. Redrawn names and local parts of
+e-mail addresses grow, so there are always enough; in formats of fixed length a surrogate may after ``FOREIGN_ROUNDS`` draws
+be a real value of another entity, as where all values are in use none else is left. After ``MOST_ROUNDS`` an error says which kind has run out.
 """
 
 from __future__ import annotations
@@ -13,15 +16,18 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelake.llm.common import sliced
+from ridelake.llm.common import sliced, tidily, unused
 from ridelake.session import materialise
 
+FOREIGN_ROUNDS = 6  # draws that look for a value no text holds
+MOST_ROUNDS = 40
 MOST_REDRAWN = 100_000  # entities drawn again that are sent to every task; more are joined to the texts
 
 # Titles by the gender they tell.
@@ -37,7 +43,10 @@ SYLLABLES = {
 }
 ENDINGS = {"latin": {"f": "lia", "m": "rk", "n": "n", "family": "wen"}, "cyrillic": {"f": "лия", "m": "рк", "n": "н", "family": "вин"}}
 
-_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
+_GENDER = {t: g for g, titles in TITLES.items() for t in titles} | {t.upper(): g for g, titles in TITLES.items() for t in titles}
+# Names of things that follow "Ms" and are no persons.
+_THINGS = {"word", "excel", "office", "windows", "access", "outlook", "powerpoint", "teams", "project", "paint", "dos", "sql"}
+_WORD = r"[^\W\d_]+(?:['’][^\W\d_]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _ENTITY = re.compile(
     rf"""(?P<key>(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9]))
@@ -48,11 +57,11 @@ _ENTITY = re.compile(
     |(?P<card>(?<![\d+])\d(?:[ -]?\d){{12,18}}(?!\d))
     |(?P<ssn>(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-]))
     |(?P<phone>(?<![\w+])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]?\d{{3,4}}(?!\d))
-    |(?P<name>\b(?:{"|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.?[ ](?:[^\W\d_]+(?:[ -](?=[^\W\d_a-zа-яß-ÿ]))?){{1,3}})""",
+    |(?P<name>\b(?:{"|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.?[ \u00a0](?:{_WORD}(?:[ \u00a0-](?=[^\W\d_a-zа-яß-ÿ]))?){{1,3}})""",
     re.VERBOSE,
 )
 _WORTH = re.compile("[0-9@]")
-_HINTS = tuple(f"{t}{end}" for t in _GENDER for end in (" ", ". "))
+_HINTS = tuple(f"{t}{end}" for t in _GENDER for end in (" ", ". ", "\u00a0", ".\u00a0"))
 
 
 def _script(word: str) -> str:
@@ -64,15 +73,22 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     if not _WORTH.search(text) and not any(h in text for h in _HINTS):
         return []
     out = []
+    named: dict[str, str] = {}
     for m in _ENTITY.finditer(text):
         kind, raw = m.lastgroup, m[0]
         if kind == "name":
-            title = re.match(r"[^ .]+", raw)[0]
-            words = [w for w in re.finditer(r"[^\W\d_]+", text[m.start() : m.end()]) if w.start() > len(title) - 1]
+            title = re.match(r"[^ \u00a0.]+", raw)[0]
+            words = [w for w in re.finditer(_WORD, text[m.start() : m.end()]) if w.start() > len(title) - 1]
             words = [w for w in words if w[0][0].isupper()]
+            if words and words[0][0].casefold() in _THINGS:
+                continue
             for k, w in enumerate(words):
                 role = "family" if k == len(words) - 1 else _GENDER[title]
-                out.append((m.start() + w.start(), m.start() + w.end(), f"name_{role}_{_script(w[0])}", w[0].casefold()))
+                kind = f"name_{role}_{_script(w[0])}"
+                out.append((m.start() + w.start(), m.start() + w.end(), kind, w[0].casefold()))
+                # a family name is one everywhere; single letters are no names
+                if len(w[0]) > 1 and (role == "family" or w[0].casefold() not in named):
+                    named[w[0].casefold()] = kind
             continue
         if kind in ("card", "phone", "ssn"):
             value = re.sub(r"\D", "", raw)
@@ -85,9 +101,32 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         else:
             value = raw.lower() if kind == "email" else raw
         out.append((m.start(), m.end(), kind, value))
+    if named:
+        out = _mentions(text, out, named)
     return out
 
 
+def _mentions(text: str, found: list[tuple[int, int, str, str]], named: dict[str, str]) -> list[tuple[int, int, str, str]]:
+    """``found`` and what else in the text is written with a capital like one of its ``named`` persons."""
+    # a word that is also written small there is a word of the language
+    starts, ends = [f[0] for f in found], [f[1] for f in found]
+    more, common = [], set()
+    for w in re.finditer(_WORD, text):
+        value = w[0].casefold()
+        if value not in named:
+            value = re.sub(r"['’]s$", "", value)
+            if value not in named:
+                continue
+        at = bisect_right(starts, w.start())
+        if at and ends[at - 1] > w.start():
+            continue
+        if w[0][0].isupper():
+            more.append((w.start(), w.start() + len(value), named[value], value))
+        else:
+            common.add(value)
+    return sorted(found + [m for m in more if m[3] not in common])
+
+
 class Cipher:
     """Keyed permutations of values within their format. ``attempt`` chooses another one."""
 
@@ -127,11 +166,21 @@ class Cipher:
             out[k] = pools[k][at]
         return "".join(out)
 
+    @staticmethod
+    def _letters_of(x: int, n: int) -> str:
+        out = []
+        for _ in range(n):
+            x, at = divmod(x, 26)
+            out.append("abcdefghijklmnopqrstuvwxyz"[at])
+        return "".join(out)
+
     def surrogate(self, kind: str, value: str, attempt: int) -> str:
         """The canonical surrogate of a canonical value."""
         tweak = f"{kind}/{attempt}"
         if kind == "email":
-            return self.letters(value, tweak, frozenset(range(value.rindex("."), len(value))))
+            new = self.letters(value, tweak, frozenset(range(value.rindex("."), len(value))))
+            longer = max(0, attempt - 1)  # letters more, once the format has failed twice
+            return self._letters_of(self._number(f"{tweak}+", int.from_bytes(value.encode(), "big"), 26**longer), longer) + new
         if kind == "hex":
             return self.letters(value, tweak, alphabet="0123456789abcdef")
         if kind == "key":
@@ -152,11 +201,11 @@ class Cipher:
             return f"{value[:2]}{98 - int(digits) % 97:02d}{body}"
         if kind.startswith("name_"):
             _, role, script = kind.split("_")
-            x, parts = self._number(tweak, int.from_bytes(value.encode(), "big"), 1 << 64), []
-            for _ in range(3):
+            x, parts = self._number(tweak, int.from_bytes(value.encode(), "big"), 1 << 256), []
+            for _ in range((3 if role == "family" else 2) + attempt):
                 x, at = divmod(x, len(SYLLABLES[script]))
                 parts.append(SYLLABLES[script][at])
-            return "".join(parts[: 2 + min(attempt, 1)] if role != "family" else parts) + ENDINGS[script][role]
+            return "".join(parts) + ENDINGS[script][role]
         return self.letters(value, tweak)
 
     def replace(self, kind: str, value: str, raw: str, attempt: int) -> str:
@@ -173,7 +222,8 @@ class Cipher:
                 out.append(c)
             return "".join(out)
         if kind == "email":
-            return "".join(n.upper() if c.isupper() else n for c, n in zip(raw, new))
+            more = len(new) - len(raw)
+            return new[:more] + "".join(n.upper() if c.isupper() else n for c, n in zip(raw, new[more:]))
         if kind.startswith("name_"):
             return new.upper() if raw.isupper() and len(raw) > 1 else new.capitalize()
         return new
@@ -193,14 +243,15 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
             kinds, values = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
 
-    return docs.select(F.col(text).cast("string").alias(text)).mapInArrow(detect, "kind string, value string").distinct()
+    return docs.select(F.col(text).cast("string").alias(text)).mapInArrow(tidily(detect), "kind string, value string").distinct()
 
 
 def redrawn(found: DataFrame, key: bytes) -> DataFrame:
     """(kind, value, attempt) of the entities whose first surrogate does not serve, from the stored distinct ones.
 
     A surrogate must not be a real value of its kind nor another one's surrogate. Of several values that would meet the
-    least keeps its surrogate. Each round checks all, in aggregates and joins, and draws what failed again.
+    least keeps its surrogate. Each round checks all, in aggregates and joins, and draws what failed again; see the module's text for when
+    it ends.
     """
     cipher = Cipher(key)
 
@@ -210,29 +261,34 @@ def redrawn(found: DataFrame, key: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("value"), batch.column("attempt"), pa.array(new, pa.string())], names=["kind", "value", "attempt", "surrogate"])
 
     now = found.withColumn("attempt", F.lit(0))
-    while True:
+    grows = F.col("kind").startswith("name_") | (F.col("kind") == "email")
+    for turn in range(MOST_ROUNDS):
         drawn = materialise(now.mapInArrow(draw, "kind string, value string, attempt int, surrogate string"), "surrogates")
         met = drawn.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least")).where("n > 1").drop("n")
         real = found.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
         bad = drawn.join(met, ["kind", "surrogate"], "left").join(real, ["kind", "surrogate"], "left")
-        bad = bad.withColumn("again", F.coalesce("real", F.lit(False)) | F.coalesce(F.col("value") > F.col("least"), F.lit(False)))
+        foreign = F.coalesce("real", F.lit(False)) & (grows | F.lit(turn < FOREIGN_ROUNDS))
+        bad = bad.withColumn("again", foreign | F.coalesce(F.col("value") > F.col("least"), F.lit(False)))
         checked = materialise(bad.select("kind", "value", "attempt", "again"), "surrogates-checked")
         if not checked.where("again").limit(1).count():
             return checked.where("attempt > 0").select("kind", "value", "attempt")
         now = checked.select("kind", "value", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+    left = {r["kind"]: r["n"] for r in checked.where("again").groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    raise RuntimeError(f"no distinct surrogates after {MOST_ROUNDS} draws for {left}")
 
 
 def replace(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """``docs`` with entities replaced in ``text``, and ``n_entities``; all other columns and rows stay as they are.
+    """``docs`` with entities replaced in ``text``, and last their number (``n_entities``, or ``common.unused`` of it); all other columns and
+    rows stay as they are.
 
-    Null texts stay null, with 0 entities. Equal texts become equal texts. A column named ``n_entities`` is replaced.
+    Null texts stay null, with 0 entities. Equal texts become equal texts.
     """
     spark, cipher = docs.sparkSession, Cipher(key)
     again = redrawn(materialise(entities(docs, text), "entities"), key)
     held = again.limit(MOST_REDRAWN + 1).collect()
-    rows = docs.drop("n_entities")
+    rows, number = docs, unused(docs, "n_entities")
     columns, schema = rows.columns, rows.schema
-    out_schema = T.StructType([*(T.StructField(text, T.StringType()) if f.name == text else f for f in schema), T.StructField("n_entities", T.IntegerType())])
+    out_schema = T.StructType([*(T.StructField(text, T.StringType()) if f.name == text else f for f in schema), T.StructField(number, T.IntegerType())])
     if len(held) <= MOST_REDRAWN:
         table = spark.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in held})
     else:  # each text gets its own redrawn entities, found by a hash of the text
@@ -244,12 +300,13 @@ def replace(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (pa.int64(), pa.string(), pa.string()))], names=["mark", "kind", "value"])
 
         marks = rows.select(F.xxhash64(text).alias("mark"), F.col(text).cast("string").alias("text")).mapInArrow(occurrences, "mark long, kind string, value string").distinct()
-        fixes = marks.join(again, ["kind", "value"]).groupBy("mark").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__fixes"))
-        rows = rows.withColumn("mark__", F.xxhash64(text)).join(fixes.withColumnRenamed("mark", "mark__"), "mark__", "left").select(*columns, "__fixes")
+        fixes = marks.join(again, ["kind", "value"]).groupBy("mark").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("fixes"))
+        mark, fix = unused(rows, "mark"), unused(rows, "fixes")
+        rows = rows.withColumn(mark, F.xxhash64(text)).join(fixes.select(F.col("mark").alias(mark), F.col("fixes").alias(fix)), mark, "left").select(*columns, fix)
 
     def rewrite(batches):
         for batch in sliced(batches, text):
-            fixes = batch.column("__fixes").to_pylist() if table is None else None
+            fixes = batch.column(batch.num_columns - 1).to_pylist() if table is None else None
             texts, counts = [], []
             for k, t in enumerate(batch.column(text).to_pylist()):
                 found = find(t) if t else []
@@ -261,6 +318,6 @@ def replace(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
                 texts.append("".join(out) + t[at:] if found else t)
                 counts.append(len(found))
             columns_ = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*columns_, pa.array(counts, pa.int32())], names=[*columns, "n_entities"])
+            yield pa.RecordBatch.from_arrays([*columns_, pa.array(counts, pa.int32())], names=[*columns, number])
 
-    return rows.mapInArrow(rewrite, out_schema)
+    return rows.mapInArrow(tidily(rewrite), out_schema)
