@@ -9,20 +9,41 @@ equal bytes estimates the Jaccard similarity after the share that agrees by chan
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import mix64, parts, shingle_hashes, sliced
+from ridelake.llm.common import mix64, parts, shingle_hashes, sliced, tidily
 
 WIDTH = 5  # words in a shingle
 BINS = 512
 BITS = 8
+STEPS = 64  # of the walk taken together by all texts
 _SHIFT = np.uint64(64 - (BINS.bit_length() - 1))
 
 
+def _met(step: int) -> np.ndarray:
+    """The bin that each empty bin looks at in a step of its walk."""
+    seed = np.arange(BINS, dtype=np.uint64) + np.array([step], dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
+    return (mix64(seed) % np.uint64(BINS)).astype(np.int64)
+
+
+@lru_cache(maxsize=1)
+def _walks() -> np.ndarray:
+    """For each bin, the step of its walk that meets each other bin first."""
+    first = np.zeros((BINS, BINS), dtype=np.int32)
+    step, own = 0, np.arange(BINS)
+    while not first.all():
+        step += 1
+        at = _met(step)
+        new = first[own, at] == 0
+        first[own[new], at[new]] = step
+    return first
+
+
 def fingerprints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """One row of ``BINS`` bytes per text, and whether it has any word. Without words the row is zero."""
     hashes, begin = shingle_hashes(texts, WIDTH)
@@ -37,14 +58,17 @@ def fingerprints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     low[~some] = 0
     todo, step = np.flatnonzero(some & ~full.all(axis=1)), 0
     filled = full.copy()
-    while len(todo):
+    while len(todo) and step < STEPS:
         step += 1
-        at = (mix64(np.arange(BINS, dtype=np.uint64) + np.uint64(step) * np.uint64(0x632BE59BD9B4E019)) % np.uint64(BINS)).astype(np.int64)
+        at = _met(step)
         take = ~filled[todo] & full[todo][:, at]
         low[todo] = np.where(take, low[todo][:, at], low[todo])
         filled[todo] |= take
         if step % 8 == 0:
             todo = todo[~filled[todo].all(axis=1)]
+    for row in todo:  # what is still empty goes straight to the full bin that its walk meets first
+        empty, there = np.flatnonzero(~filled[row]), np.flatnonzero(full[row])
+        low[row, empty] = low[row, there[_walks()[np.ix_(empty, there)].argmin(axis=1)]]
     return low, some
 
 
@@ -133,6 +157,6 @@ def compare_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text")
         if rest is not None:
             yield answer(rest, True)
 
-    dealt = rows.mapInArrow(deal, "bucket int, extra boolean, key long, text string").repartition(n, "bucket")
+    dealt = rows.mapInArrow(tidily(deal), "bucket int, extra boolean, key long, text string").repartition(n, "bucket")
     ordered = dealt.sortWithinPartitions("bucket", "extra", F.col("key").desc_nulls_last(), "text")
-    return ordered.mapInArrow(walk, "key long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double").withColumnRenamed("key", key)
+    return ordered.mapInArrow(tidily(walk), "key long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double").withColumnRenamed("key", key)
