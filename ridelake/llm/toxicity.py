@@ -8,8 +8,10 @@ exception phrase does not count. The score is a logistic function of the matches
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +81,14 @@ class Lexicon:
                     spared.append((start, end + 1))
                 elif start not in best or best[start][1] < weight:
                     best[start] = (end + 1, weight)
-        hits = [(a, b, w) for a, (b, w) in best.items() if not any(x <= a and b <= y for x, y in spared)]
+        # a phrase that begins no later than a hit and reaches farthest decides
+        spared.sort()
+        reach = list(accumulate((y for _, y in spared), max))
+        hits = []
+        for a, (b, w) in best.items():
+            before = bisect_right(spared, (a, len(low) + 1))
+            if not before or reach[before - 1] < b:
+                hits.append((a, b, w))
         return hits, low.count(" ") + low.count("\n") + 1
 
     def features(self, text: str | None) -> tuple[float, float]:
