@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridelake.llm.common import unused
 from ridelake.session import materialise
 
 MOST_CELLS = 100_000  # cells raked as one array; more are raked as a table
@@ -100,7 +101,8 @@ def _rake_table(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) ->
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: str | None = None, targets: dict[str, DataFrame] | None = None, seed: int = 20) -> DataFrame:
-    """All columns of ``docs`` and a struct ``mix`` of (source, lang, topic, n_tokens, rate, probability, kept), for every row.
+    """All columns of ``docs`` and, last, a struct of (source, lang, topic, n_tokens, rate, probability, kept), for every row (``mix``,
+    or ``common.unused`` of it).
 
     ``targets`` maps levels (source, lang, topic) to tables (level, target); others take the tempered shares. Null values are
     a level of their own, the empty string. ``rate`` is the wanted share over the share that is there. Without a
@@ -115,10 +117,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     wanted = {level: (targets or {}).get(level, tempered(cells, level)) for level in LEVELS}
     rates = materialise(rake(cells, wanted).select(*[F.col(c).alias(f"__{c}") for c in LEVELS], (F.col("weight") / F.col("tokens")).alias("__rate")), "mixing-rates")
     count, most = rates.agg(F.count(F.lit(1)), F.max("__rate")).first()
-    docs = docs.drop("mix")
     rows = docs.withColumns({f"__{k}": v for k, v in levels.items()})
     joined = rows.join(F.broadcast(rates) if count <= MOST_CELLS else rates, [f"__{c}" for c in LEVELS])
     draw = F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     probability = F.col("__rate") / F.lit(most or 1.0)
     found = F.struct(*[F.col(f"__{c}").alias(c) for c in LEVELS], n_tokens(t).alias("n_tokens"), F.col("__rate").alias("rate"), probability.alias("probability"), (draw < probability).alias("kept"))
-    return joined.select(*docs.columns, found.alias("mix"))
+    return joined.select(*docs.columns, found.alias(unused(docs, "mix")))

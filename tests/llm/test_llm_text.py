@@ -282,3 +282,98 @@ def test_packing_is_whole_and_gapless(spark):
         group = group.sort_values("offset")
         assert group.offset.tolist() == [0, *group.length.cumsum().tolist()[:-1]] and group.length.sum() <= 4096
     assert packing.pack(materialise(packing.cut(documents(spark, []), TOKENIZER), "test-none")).count() == 0
+
+
+# repairs: letters beyond the basic plane, many languages, exhausted formats, bare mentions, long walks, exceptions
+
+
+def test_letters_beyond_the_basic_plane_are_letters(spark):
+    rows = [(k, t, "en") for k, t in enumerate(sentences(EN, 20, 1))] + [(100 + k, "𠀀𠀁 中文 " * 8, "zh") for k in range(20)]
+    out = langid.identify(documents(spark, [(1, "𠀀𠀁", None), (2, "🙂", None)]), langid.fit(documents(spark, rows))).orderBy("doc_id").collect()
+    assert [(r["lang_pred"], r["score"]) for r in out] == [("zh", 1.0), ("und", 0.0)]
+
+
+def test_paths_with_many_labels(spark, monkeypatch):
+    scores = np.full((4, 200), -20.0)
+    for k, label in enumerate((150, 150, 180, 180)):
+        scores[k, label] = 0
+    assert langid.best_paths(scores, np.array([4]), 12.0).tolist() == [150, 150, 180, 180]
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="3 languages"):
+        langid.fit(documents(spark, [(k, "some words", f"l{k}") for k in range(3)]))
+
+
+def test_exhausted_formats_end(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    addresses = [("email", f"{a}{b}@y.de") for a in letters for b in letters]
+    values = spark.createDataFrame(addresses + [("name_family_latin", f"name{k}") for k in range(70_000)], "kind string, value string").repartition(8)
+    attempts = {(r["kind"], r["value"]): r["attempt"] for r in pii.redrawn(values, b"key").collect()}
+    cipher = pii.Cipher(b"key")
+    new = {(k, cipher.surrogate(k, v, attempts.get((k, v), 0))) for k, v in map(tuple, values.collect())}
+    assert len(new) == len(addresses) + 70_000 and not new & set(addresses)
+    # a format of fixed length with all its values in use: distinct still, though real ones
+    pins = spark.createDataFrame([("ssn", f"00000000{k}") for k in range(10)], "kind string, value string")
+    assert pii.redrawn(pins, b"key").count() <= 10
+
+
+def test_surrogates_longer_than_what_they_replace():
+    cipher = pii.Cipher(b"k")
+    new = cipher.replace("email", "ab@y.de", "AB@y.de", 5)
+    assert len(new) == len("ab@y.de") + 4 and new.endswith(".de") and pii.find(new)[0][:3] == (0, len(new), "email")
+
+
+@pytest.mark.parametrize(
+    "text, gone, stays",
+    [
+        ("Mr John Smith wrote. Smith said hi to John, SMITH too.", ["Smith", "John", "SMITH"], ["wrote", "said hi to"]),
+        ("MR JOHN SMITH and Mr Jones", ["JOHN", "SMITH", "Jones"], ["MR", "Mr "]),
+        ("Mr O'Brien's dog; O'Brien left", ["Brien"], ["dog"]),
+        ("Ms Word and Ms Anna Keller. Anna's hat", ["Anna", "Keller"], ["Ms Word", "'s hat"]),
+        ("Mrs Baker knows a baker and a Baker's dozen", [], ["a baker", "a Baker's dozen"]),
+    ],
+)
+def test_names_and_their_bare_mentions(spark, text, gone, stays):
+    new = pii.replace(documents(spark, [(1, text, "en")]), b"key").first()["text"]
+    assert not any(g in new for g in gone) and all(s in new for s in stays)
+    if "Smith said" in text:
+        family = new.split(" ")[2]
+        assert new.split(" wrote. ")[1].startswith(f"{family} said hi to {new.split(' ')[1]}")
+
+
+def slow_fill(texts):
+    """Fingerprints with every empty bin's walk taken alone."""
+    hashes, begin = shingle_hashes(pa.array(texts), fingerprint.WIDTH)
+    out = np.zeros((len(texts), fingerprint.BINS), dtype=np.uint8)
+    for k in range(len(texts)):
+        least = {}
+        for h in hashes[begin[k] : begin[k + 1]].tolist():
+            at, rest = h >> 55, (h << 9 & (1 << 64) - 1) >> 1
+            least[at] = min(least.get(at, rest), rest)
+        for b in range(fingerprint.BINS if least else 0):
+            at, step = b, 0
+            while at not in least:
+                step += 1
+                at = int(fingerprint._met(step)[b])
+            out[k, b] = least[at] >> 8 & 0xFF
+    return out
+
+
+def test_walks_of_short_texts_end_where_they_did():
+    texts = ["a b c", "one two three four five six", " ".join(f"w{k}" for k in range(60)), "", " ".join(f"v{k}" for k in range(900))]
+    assert (fingerprint.fingerprints(pa.array(texts))[0] == slow_fill(texts)).all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab ", max_size=40), st.dictionaries(st.text("ab", min_size=1, max_size=3), st.floats(0.5, 3), max_size=4), st.lists(st.text("ab ", min_size=1, max_size=6), max_size=3))
+def test_matches_equal_naive_matching(text, terms, phrases):
+    phrases = [p for p in phrases if p.strip() and p not in terms and not p.startswith(" ")]
+    low = toxicity.fold(text)
+    spared = [(k, k + len(p)) for p in phrases for k in range(len(low)) if (low + " ").startswith(p, k) and not (k and low[k - 1].isalnum())]
+    best = {}
+    for term, weight in terms.items():
+        for k in range(len(low)):
+            if (low + " ").startswith(term, k) and not (k and low[k - 1].isalnum()) and (k not in best or best[k][1] < weight):
+                best[k] = (k + len(term), weight)
+    want = sorted((a, b, w) for a, (b, w) in best.items() if not any(x <= a and b <= y for x, y in spared))
+    hits, _ = toxicity.Lexicon(terms, phrases, (0.0, 1.0, 1.0)).matches(text)
+    assert sorted((a, w) for a, _, w in hits) == [(a, w) for a, _, w in want]
