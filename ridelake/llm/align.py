@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import parts, sliced
+from ridelake.llm.common import parts, sliced, tidily
 from ridelake.operators.lookup import sized
 from ridelake.session import materialise
 
 RANGE = 32 << 10  # bytes
+TOGETHER = 1 << 20  # bytes of ranges that a task takes together
 FAN = 16  # fragments composed by one task at a time
 KEPT_WORDS, KEPT_BYTES = 250_000, 4096  # distinct words that a task keeps, and the longest
 COUNTS_BYTES = 32 << 20  # of pair counts that are sent to all tasks; more are joined by a shuffle
@@ -44,6 +45,10 @@ COUNTS_BYTES = 32 << 20  # of pair counts that are sent to all tasks; more are j
 _CUT = re.compile(rb"(?<=[\x21-\x7e\x80-\xbf])(?<!\xc2\x85)(?<!\xc2\xa0)(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) (?=.)", re.S)
 
 
+# Texts without this are cut at every space.
+_ODD = re.compile(rb"(?:\A|[\x00-\x20\x7f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80) | \Z")
+
+
 class Tokens(NamedTuple):
     """Both tokenizers' ids and the byte at which each token ends."""
 
@@ -176,7 +181,7 @@ class Tokenizers(NamedTuple):
 
 
 def words(text: bytes) -> list[bytes]:
-    return [b" " + part for part in _CUT.split(text)]
+    return [b" " + part for part in (_CUT.split(text) if _ODD.search(text) else text.split(b" "))]
 
 
 def token_runs(pair_: Pair, distinct: list[bytes]) -> list[Tokens | None]:
@@ -279,9 +284,9 @@ class Words:
             self.clear()
 
 
-def short_documents(texts: list[bytes | None], known: Words) -> dict[str, list]:
-    """Counts, digest, text of groups, and distinct pairs with their links of each text."""
-    numbers = known.numbers([words(t) if t else [] for t in texts])
+def products(texts: list[list[bytes]], known: Words) -> dict[str, list]:
+    """Counts, digest, text of groups, and distinct pairs with their links of each run of words; whether it has words that are all given back."""
+    numbers = known.numbers(texts)
     counts, begin = known.counts.all(), known.begin.all()
     n_words = np.array([len(x) for x in numbers], dtype=np.int64)
     flat = np.array(list(chain.from_iterable(numbers)), dtype=np.int64)
@@ -304,6 +309,7 @@ def short_documents(texts: list[bytes | None], known: Words) -> dict[str, list]:
     ends = np.searchsorted(owner[first], np.arange(len(texts) + 1))
     lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int64())) for x in (pairs[first], times)]
     return {
+        "good": good,
         **{name: totals[k] for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
         "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if ok else "" for t, ok in zip(joined, good)],
         "groups": joined,
@@ -352,9 +358,14 @@ def _node(row: int, node: int, good: bool, n_a: int, n_b: int, f: Fragment) -> t
     return (row, node, good, n_a, n_b, f.closed, *f.prefix, *f.suffix, None, None, None, None, None)
 
 
-def _closed(row: int, found: Groups) -> tuple:
+def _counted(found: Groups) -> tuple:
+    """(last byte, text, groups, distinct pairs, links of each)."""
     pairs, times = np.unique(np.array(found.links, dtype=np.int64), return_counts=True)
-    return (row, None, None, None, None, None, *[None] * 8, found.end, found.text, found.n, pairs.tolist(), times.tolist())
+    return found.end, found.text, found.n, pairs.tolist(), times.tolist()
+
+
+def _closed(row: int, counted: tuple) -> tuple:
+    return (row, None, None, None, None, None, *[None] * 8, *counted)
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 512) -> Iterator[pa.RecordBatch]:
@@ -380,27 +391,41 @@ _SCHEMA = pa.schema(
 )
 
 
-def _leaf(pair_: Pair, row: int, node: int, low: int, high: int, start: int, data: bytes) -> Iterator[tuple]:
-    """A range's open ends and closed groups."""
-    cut = words(data[1:])
-    distinct = list(dict.fromkeys(cut))
-    known = dict(zip(distinct, token_runs(pair_, distinct)))
-    good, found, at = True, Tokens([], [], [], []), start
-    for word in cut:
-        tokens = known[word]
-        if tokens is None:
-            good = False
-            break
-        shifted = Tokens(tokens.a, [x + at for x in tokens.a_end], tokens.b, [x + at for x in tokens.b_end])
-        if at < low or at + len(word) > high:
-            shifted = _between(shifted, low, high)
-        for x, y in zip(found, shifted):
-            x.extend(y)
-        at += len(word)
-    ends, inside = fragment(found) if good else (Fragment(False, NONE, NONE), None)
-    yield _node(row, node, good, len(found.a), len(found.b), ends)
-    if inside:
-        yield _closed(row, inside)
+def _leaves(rows: list[dict], known: Words) -> Iterator[tuple]:
+    """Ranges' open ends and closed groups. Words are closed on both sides; only those that a range cuts are taken apart."""
+    cut = []
+    for r in rows:
+        inner, ends, at = [], [], r["start"]
+        for word in words(r["data"][1:]):
+            if at < r["low"] or at + len(word) > r["high"]:
+                ends.append((at, word))
+            else:
+                inner.append(word)
+            at += len(word)
+        cut.append((inner, ends))
+    found = products([inner for inner, _ in cut], known)
+    for k, (r, (inner, ends)) in enumerate(zip(rows, cut)):
+        good, n_a, n_b, f = not inner or bool(found["good"][k]), int(found["n_a"][k]), int(found["n_b"][k]), None
+        closed = []
+        if inner:
+            f = Fragment(True, NONE, NONE)
+            end = r["start"] + sum(map(len, inner)) + sum(len(w) for at, w in ends if at < r["low"])
+            closed.append((end, found["groups"][k], int(found["n_groups"][k]), found["pairs"][k].as_py(), found["times"][k].as_py()))
+        runs = token_runs(known.pair, [w for _, w in ends])
+        for (at, _), tokens in zip(ends, runs):
+            if tokens is None:
+                good = False
+                break
+            part = _between(Tokens(tokens.a, [x + at for x in tokens.a_end], tokens.b, [x + at for x in tokens.b_end]), r["low"], r["high"])
+            n_a, n_b = n_a + len(part.a), n_b + len(part.b)
+            own, inside = fragment(part)
+            order = (f, own) if f is None or at >= r["low"] else (own, f)
+            f, group = (own, None) if f is None else compose(*order)
+            closed += [_counted(g) for g in (group, inside) if g and g.n]
+        yield _node(r["row"], r["node"], good, n_a, n_b, f if good and f else Fragment(False, NONE, NONE))
+        if good:
+            for c in closed:
+                yield _closed(r["row"], c)
 
 
 def _fold(rows: Iterator[dict], last: bool) -> Iterator[tuple]:
@@ -415,7 +440,9 @@ def _fold(rows: Iterator[dict], last: bool) -> Iterator[tuple]:
         if last and good:
             good = f.closed and f.suffix == NONE
             if good:
-                yield _closed(now[0], groups(f.prefix))
+                first = groups(f.prefix)
+                if first.n:
+                    yield _closed(now[0], _counted(first))
         yield _node(now[0], now[1], good, n_a, n_b, f)
 
     for r in rows:
@@ -427,8 +454,8 @@ def _fold(rows: Iterator[dict], last: bool) -> Iterator[tuple]:
             continue
         both, group = compose(acc[3], f)
         acc = (acc[0] and r["good"], acc[1] + r["n_a"], acc[2] + r["n_b"], both)
-        if group and acc[0]:
-            yield _closed(now[0], group)
+        if group and group.n and acc[0]:
+            yield _closed(now[0], _counted(group))
     if now:
         yield from done()
 
@@ -439,6 +466,19 @@ def _in_order(batches, names) -> Iterator[dict]:
             yield from batch.slice(k, 64).select(names).to_pylist()
 
 
+def _together(rows: Iterator[dict], most: int) -> Iterator[list[dict]]:
+    """``rows`` in lists that have at most ``most`` bytes of data (or one row)."""
+    held, size = [], 0
+    for r in rows:
+        if held and size + len(r["data"]) > most:
+            yield held
+            held, size = [], 0
+        held.append(r)
+        size += len(r["data"])
+    if held:
+        yield held
+
+
 class Alignment(NamedTuple):
     """``documents``: id, key, n_a, n_b, n_groups, n_links, groups_sha256. ``links``: id, pair, times, one row for each distinct pair of a document.
     ``groups``: id, at, groups: texts of closed groups that end at byte ``at``, in order of it."""
@@ -460,14 +500,15 @@ def align(docs: DataFrame, tokenizers: Callable[[], Pair], key: str = "doc_id",
     def short(batches):
         known = Words(tokenizers())
         for batch in sliced(batches, "text"):
-            found = short_documents(batch.column("text").to_pylist(), known)
+            found = products([words(t) if t else [] for t in batch.column("text").to_pylist()], known)
+            del found["good"]
             if not with_groups:
                 found["groups"] = pa.nulls(batch.num_rows, pa.string())
             known.forget_long()
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(v if isinstance(v, pa.Array) else pa.array(v) for v in found.values())], names=["key", *found])
 
     fields = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, pairs array<long>, times array<long>"
-    shorts = every.where(~long_one).mapInArrow(short, f"key {kind}, {fields}")
+    shorts = every.where(~long_one).mapInArrow(tidily(short), f"key {kind}, {fields}")
     shorts = materialise(shorts.withColumn("id", F.monotonically_increasing_id()), "aligned")
 
     def cut(batches):
@@ -484,14 +525,20 @@ def align(docs: DataFrame, tokenizers: Callable[[], Pair], key: str = "doc_id",
 
     batch_type = _arrow_type(every)
     numbered = every.where(long_one).withColumn("row", -1 - F.monotonically_increasing_id())
-    pieces = materialise(numbered.mapInArrow(cut, f"row long, key {kind}, node long, low long, high long, start long, data binary"), "byte-ranges")
+    pieces = materialise(numbered.mapInArrow(tidily(cut), f"row long, key {kind}, node long, low long, high long, start long, data binary"), "byte-ranges")
     n_nodes = pieces.agg((F.max("node") + 1).alias("n")).first()["n"] or 0
 
     def leaves(batches):
-        pair_ = tokenizers()
-        yield from _batches((x for r in _in_order(batches, ["row", "node", "low", "high", "start", "data"]) for x in _leaf(pair_, **r)), _SCHEMA)
+        known = Words(tokenizers())
+
+        def rows():
+            for held in _together(_in_order(batches, ["row", "node", "low", "high", "start", "data"]), TOGETHER):
+                yield from _leaves(held, known)
+                known.forget_long()
+
+        yield from _batches(rows(), _SCHEMA)
 
-    levels = [materialise(pieces.repartition(n_parts, "row", "node").mapInArrow(leaves, _NODE), "fragments")]
+    levels = [materialise(pieces.repartition(n_parts, "row", "node").mapInArrow(tidily(leaves), _NODE), "fragments")]
     names = [n for n in _NODE_NAMES[:14] if n != "node"] + ["parent"]
 
     def folded(last):
@@ -504,7 +551,7 @@ def align(docs: DataFrame, tokenizers: Callable[[], Pair], key: str = "doc_id",
         last = n_nodes <= fan
         nodes = levels[-1].where("node is not null").withColumn("parent", F.expr(f"node div {fan}"))
         nodes = nodes.repartition(n_parts, "row", "parent").sortWithinPartitions("row", "parent", "node")
-        levels.append(materialise(nodes.mapInArrow(folded(last), _NODE), "fragments"))
+        levels.append(materialise(nodes.mapInArrow(tidily(folded(last)), _NODE), "fragments"))
         if last:
             break
         n_nodes = -(-n_nodes // fan)
@@ -531,7 +578,7 @@ def align(docs: DataFrame, tokenizers: Callable[[], Pair], key: str = "doc_id",
         yield from _batches(rows(), pa.schema([("row", pa.int64()), ("groups_sha256", pa.string()), ("n_groups", pa.int64())]))
 
     texts = closed.select("row", "at", "text", "n_groups").repartition(n_parts, "row").sortWithinPartitions("row", "at")
-    hashed = texts.mapInArrow(digest, "row long, groups_sha256 string, n_groups long")
+    hashed = texts.mapInArrow(tidily(digest), "row long, groups_sha256 string, n_groups long")
     pairs = closed.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).groupBy("row", F.col("x.pairs").alias("pair")).agg(F.sum("x.times").alias("times"))
     pairs = materialise(pairs, "long-links")
     n_links = pairs.groupBy("row").agg(F.sum("times").alias("n_links"))

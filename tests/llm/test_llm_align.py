@@ -88,6 +88,7 @@ def test_words_give_the_whole_texts_tokens(pair):
     texts = ["".join(r.choice(LETTERS) for _ in range(r.randint(1, 60))) for _ in range(4000)] + ["<|endoftext|> a <s>b</s> <unk> <0x0A> x", "x" * 700 + " y  "]
     for text in texts:
         cut = align.words(text.encode())
+        assert cut == [b" " + part for part in align._CUT.split(text.encode())]
         assert b"".join(cut) == b" " + text.encode()
         runs = align.token_runs(pair, cut)
         got = ([], []) if None in runs else ([k for x in runs for k in x.a], [k for x in runs for k in x.b])
