@@ -702,3 +702,34 @@ ORACLE["dim_station_renamed"] = _sql(
     [_RENAMED, ORDER_DAYS, WEATHER, _CLEAN_WEATHER, _SILVER, _GOLD],
     "SELECT station_id, station_name FROM dim_station",
 )
+
+ORACLE["zip_members"] = ORACLE["zip_ingest"]
+ORACLE["lake_late_weather"] = ORACLE["stream_two_drops"]
+_FULL_WEATHER = WEATHER.replace("SELECT trip_date,", "SELECT trip_date, n,", 1)
+ORACLE["season_job"] = (
+    ORACLE["legacy_trips"]
+    .replace(WEATHER.strip(), _FULL_WEATHER.strip())
+    .replace(
+        "w.temp, w.visib, w.wdsp, w.prcp,",
+        """w.temp, w.visib, w.wdsp, w.prcp, w.temp * 0.5 AS dewp, CAST(1000 + w.n % 40 AS DOUBLE) AS slp,
+       CAST(990 + w.n % 30 AS DOUBLE) AS stp, w.wdsp * 2 AS mxspd, w.wdsp * 4 AS gust, w.temp + 5 AS max, w.temp - 5 AS min,""",
+    )
+)
+ORACLE["yearly_job"] = ORACLE["silver_trips"].replace(
+    "SELECT * REPLACE (",
+    """SELECT * REPLACE (strftime(trip_date, '%m-%d') IN ('01-01', '07-04', '12-25')
+                   AND year(trip_date) = year(trip_date - INTERVAL 10 DAY) AS is_holiday, """,
+)
+ORACLE["feature_table"] = ORACLE["notebook_features"]
+ORACLE["typed_views"] = _trips(
+    """SELECT member_casual, 'full' AS shape, count(start_station_id) AS with_station, count(ended_at) AS with_end, round(sum(end_lat), 4) AS lat
+       FROM trips GROUP BY member_casual
+       UNION ALL
+       SELECT member_casual, 'short', 0, count(ended_at), round(sum(end_lat), 4) FROM trips GROUP BY member_casual"""
+)
+_SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+ORACLE["schema_of_orders"] = (
+    "SELECT CAST(cid + 1 AS INTEGER) AS position, name AS column_name, CASE type "
+    + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _SPARK_TYPES.items())
+    + " ELSE type END AS column_type FROM pragma_table_info('orders')"
+)

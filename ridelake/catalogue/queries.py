@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake import schemas
 from ridelake.catalogue.relations import (
@@ -18,17 +19,21 @@ from ridelake.catalogue.relations import (
     lake,
     order_trips,
     typed_trips,
+    weather_file,
+    zip_files,
 )
 from ridelake.functions import geo
 from ridelake.functions.bands import banded
 from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
 from ridelake.operators.lookup import left_lookup, sized
-from ridelake.plans import demand, impact, indicators, profile, silver, star
+from ridelake.plans import demand, impact, indicators, profile, silver, star, variants
 from ridelake.plans.lake import (
     BY_MONTH,
     read_gold,
+    raw_to_silver,
     read_silver,
+    refresh_weather,
     rename_stations,
     silver_to_gold,
     write_silver,
@@ -37,8 +42,9 @@ from ridelake.rules import RAIN_SILVER, SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK,
 from ridelake.session import fresh_path, materialise
 from ridelake.sinks.catalog import register_gold
 from ridelake.sinks.layers import append_rows, write_partitioned
-from ridelake.sources.tables import read_layer, read_or_empty, sql_over_path
-from ridelake.sources.trips import read_trips, unzip_trips, zip_rows
+from ridelake.sources.layout import Layout
+from ridelake.sources.tables import read_layer, read_or_empty, sql_over_path, typed_view
+from ridelake.sources.trips import read_trip_zips, read_trips, unzip_trips, zip_rows
 from ridelake.streaming.incremental import run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +354,82 @@ def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(read_layer(spark, staged))
 
 
+def _zipped(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with two archives of two CSV members each, and one without a CSV."""
+    folder = fresh_path(spark, "zips")
+    odd = lambda name, column: F.concat(F.lit(f"{name}-"), (column % 2).cast("int").cast("string"))
+    text = _raw_text(spark, sf_dir)
+    member = F.concat(odd("rides", F.col("ride_id").cast("long")), F.lit(".csv"))
+    zip_files(text, folder, odd("trips", F.year("started_at")), member)
+    return folder
+
+
+def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips read from real ZIP files, a task for every CSV member."""
+    rows = read_trip_zips(spark, _zipped(spark, sf_dir))
+    return as_text(clean.typed(rows, schemas.TYPED_TRIPS))
+
+
+def season_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-shot job from files to files: archives, staged months, full weather CSV, table by season."""
+    base = fresh_path(spark, "season-job")
+    weather_file(spark, sf_dir, f"{base}/weather.csv", "yyyy-MM-dd")
+    variants.zips_to_season_table(spark, _zipped(spark, sf_dir), f"{base}/weather.csv", f"{base}/staged", f"{base}/out")
+    return as_text(read_layer(spark, f"{base}/out"))
+
+
+# Files of a load begin on this day of January, so that loads meet inside a month.
+FIRST_DAY = 11
+
+
+def yearly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV of trips and weather to Silver, a job for each year's files, and one to Gold; returns Silver.
+
+    A year's files begin on 11 January, so a load also holds ten days of the next year, on which its job knows no holidays.
+    """
+    layout = Layout(fresh_path(spark, "yearly-job"))
+    text = _raw_text(spark, sf_dir).withColumn("load", F.year(F.date_sub(F.to_date("started_at"), FIRST_DAY - 1)))
+    years = [r["load"] for r in text.select("load").distinct().orderBy("load").collect()]  # one for each year
+    for year in years:
+        text.where(F.col("load") == year).drop("load").write.option("header", True).csv(layout.raw_trips(year))
+        weather_file(spark, sf_dir, layout.raw_weather(year), "dd-MM-yyyy", where=f"year(trip_date - interval {FIRST_DAY - 1} day) = {year}")
+        raw_to_silver(spark, layout.root, year)
+    counts = silver_to_gold(spark, layout.root, [str(year) for year in years])
+    if counts["silver_rows"] != counts["fact_rows"]:
+        raise RuntimeError(f"fact does not match Silver: {counts}")
+    return as_text(read_silver(spark, layout.root))
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature-engineering job from one catalog table to another, run twice: the second replaces table and schema."""
+    base = fresh_path(spark, "features")
+    database = "features_" + base.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    joined_trips(spark, sf_dir).write.saveAsTable(f"{database}.joined")
+    for _ in range(2):
+        variants.feature_table(spark, f"{database}.joined", f"{database}.features")
+    return as_text(spark.table(f"{database}.features").select(*NOTEBOOK_COLUMNS))
+
+
+def typed_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views over a file of text, with station columns and without, asked in SQL."""
+    path = fresh_path(spark, "raw-text")
+    _raw_text(spark, sf_dir).write.parquet(path)
+    name = "rides_" + path.rsplit("-", 1)[-1]
+    stations = [f for f in schemas.TYPED_TRIPS if "station" in f.name]
+    typed_view(spark, path, schemas.TYPED_TRIPS, f"{name}_full")
+    typed_view(spark, path, T.StructType([f for f in schemas.TYPED_TRIPS if f not in stations]), f"{name}_short")
+    return spark.sql(f"""
+        SELECT member_casual, 'full' AS shape, count(start_station_id) AS with_station, count(ended_at) AS with_end, round(sum(end_lat), 4) AS lat
+        FROM {name}_full GROUP BY member_casual
+        UNION ALL
+        SELECT member_casual, 'short', 0L, count(ended_at), round(sum(end_lat), 4) FROM {name}_short GROUP BY member_casual""")
+
+
+def schema_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.describe_schema(read_layer(spark, f"{sf_dir}/orders.parquet"))
+
+
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partitioned layer in which the second write replaces only its own months.
 
@@ -485,6 +567,16 @@ def lake_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_ways(spark, sf_dir, False)
 
 
+def lake_late_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides that arrive before any weather, and the weather a run later."""
+    base = fresh_path(spark, "late-weather")
+    daily = event_weather(spark, sf_dir)
+    _as_files(event_trips(spark, sf_dir), f"{base}/in/all")
+    run_incremental(spark, f"{base}/in", daily.limit(0), f"{base}/lake", f"{base}/checkpoint")
+    refresh_weather(spark, f"{base}/lake", daily)
+    return fact_with_texts(spark, f"{base}/lake")
+
+
 def dim_station_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations after a second load under other names and a renaming over both."""
     root = fresh_path(spark, "renamed")
@@ -594,6 +686,12 @@ QUERIES: dict[str, Query] = {
     "preview": preview,
     "csv_ingest": csv_ingest,
     "zip_ingest": zip_ingest,
+    "zip_members": zip_members,
+    "season_job": season_job,
+    "yearly_job": yearly_job,
+    "feature_table": feature_table,
+    "typed_views": typed_views,
+    "schema_of_orders": schema_of_orders,
     "layer_roundtrip": layer_roundtrip,
     "season_layer": season_layer,
     "missing_layer": missing_layer,
@@ -603,6 +701,7 @@ QUERIES: dict[str, Query] = {
     "lake_corrected_load": lake_corrected_load,
     "lake_stream_then_batch": lake_stream_then_batch,
     "lake_batch_then_stream": lake_batch_then_stream,
+    "lake_late_weather": lake_late_weather,
     "dim_station_renamed": dim_station_renamed,
     "event_duration_by_day": event_duration_by_day,
 }

@@ -7,7 +7,12 @@ engine; ``{orders}`` and ``{events}`` name the source table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zipfile
+from collections.abc import Iterator
+from contextlib import ExitStack
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake import schemas
@@ -187,6 +192,56 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
     return _per_session("lake", spark, sf_dir, lambda: build_lake(spark, sf_dir))
 
 
+# The readings of the full weather file that the derived weather lacks, as multiples of its temperature and wind.
+_MORE_READINGS = {"DEWP": "temp * 0.5", "SLP": "1000 + n % 40", "STP": "990 + n % 30", "MXSPD": "wdsp * 2", "GUST": "wdsp * 4", "MAX": "temp + 5", "MIN": "temp - 5"}
+
+
+def weather_file(spark: SparkSession, sf_dir: str, path: str, date_format: str, date: str = "trip_date", where: str = "true") -> None:
+    """A raw weather CSV of all 28 columns, as one file, for the derived days."""
+    daily = _run(spark, sf_dir, [ORDER_DAYS, WEATHER.replace("SELECT trip_date,", "SELECT trip_date, n,", 1)], f"SELECT * FROM weather WHERE {where}")
+    known = {"DATE": F.date_format(date, date_format), "NAME": F.lit("CENTRAL PARK, NY US"), "STATION": F.lit("72505394728"), "FRSHTT": F.col("frshtt")}
+    known |= {c: F.expr(e).cast("string") for c, e in _MORE_READINGS.items()}
+    known |= {c: F.col(c.lower()).cast("string") for c in schemas.SILVER_WEATHER_NUMBERS}
+    text = daily.select(*[known.get(c, F.lit("24")).alias(c) for c in schemas.RAW_WEATHER.names])
+    # one row per calendar day of a few years: small whatever the number of trips
+    text.coalesce(1).write.option("header", True).csv(path)
+
+
+def zip_files(rows: DataFrame, folder: str, archive: Column, member: Column) -> None:
+    """Write text trips as CSV members of ZIP files below ``folder``; a task streams whole archives."""
+    names = schemas.RAW_TRIPS.names
+    lines = rows.select(archive.alias("archive"), member.alias("member"), F.to_csv(F.struct(*names), {"emptyValue": "", "quoteAll": "false"}).alias("line"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ridelake.sources.zips import file_system
+
+        files, root = file_system(folder)
+        files.create_dir(root, recursive=True)
+        now, inside, written = None, None, []
+        with ExitStack() as held:
+            for batch in batches:
+                for name, part, line in zip(*(c.to_pylist() for c in batch.columns)):
+                    if now is None or now[0] != name:
+                        held.close()
+                        packed = held.enter_context(zipfile.ZipFile(held.enter_context(files.open_output_stream(f"{root}/{name}.zip")), "w", zipfile.ZIP_DEFLATED))
+                        packed.writestr("readme.txt", "rides\n")
+                        written.append(name)
+                    if now != (name, part):
+                        if inside is not None and now[0] == name:
+                            inside.close()
+                        now, inside = (name, part), held.enter_context(packed.open(part, "w"))
+                        inside.write((",".join(names) + "\n").encode())
+                    inside.write((line + "\n").encode())
+        yield pa.RecordBatch.from_arrays([pa.array(written, pa.string())], names=["archive"])
+
+    lines.repartition("archive").sortWithinPartitions("archive", "member").mapInArrow(pack, "archive string").count()
+    from ridelake.sources.zips import file_system
+
+    files, root = file_system(folder)
+    with files.open_output_stream(f"{root}/notes.zip") as raw, zipfile.ZipFile(raw, "w") as empty:
+        empty.writestr("readme.txt", "an archive without rides\n")
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and timestamps as ISO text, so that engines can be compared by value."""
     forms = {

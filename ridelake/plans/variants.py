@@ -29,7 +29,7 @@ STAGE = "src_month"
 def stage_archives(spark: SparkSession, zips: str, staged: str) -> None:
     """Typed trips of every archive below ``zips``, one partition per archive.
 
-    A task holds whole archives, so nothing needs to move before the write.
+    A task holds members of one archive, so nothing needs to move before the write.
     Archives staged before are replaced, others are left alone.
     """
     rows = read_trip_zips(spark, zips)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.schemas import RAW_TRIPS
+from ridelake.sources.zips import by_header, read_zip_records
 
 ARCHIVE_ROWS = T.StructType([T.StructField("source", T.StringType()), *RAW_TRIPS.fields])
 _LINES_PER_FRAME = 50_000
@@ -41,7 +42,12 @@ def read_trip_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_trip_zips(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of every CSV in every ``*.zip`` below ``path``, with the archive they came from."""
+    """Rows of every CSV in every ``*.zip`` below ``path``, with the archive they came from; a task for every CSV."""
+    return by_header(read_zip_records(spark, path), RAW_TRIPS.names)
+
+
+def read_trip_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The same through Spark's own binary files, a task for every archive, for file systems that only Spark reaches."""
     archives = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
