@@ -733,3 +733,10 @@ ORACLE["schema_of_orders"] = (
     + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _SPARK_TYPES.items())
     + " ELSE type END AS column_type FROM pragma_table_info('orders')"
 )
+_MOVED = EVENT_TRIPS.replace("), trips AS (", "), plain AS (") + """, trips AS (
+  SELECT * REPLACE (started_at + late AS started_at, ended_at + late AS ended_at) FROM (
+    SELECT *, CASE WHEN CAST(ride_id AS BIGINT) % 6 = 3 THEN INTERVAL 20 DAY ELSE INTERVAL 0 DAY END AS late FROM plain))"""
+ORACLE["lake_moved_rides"] = ORACLE["stream_two_drops"].replace(
+    *[text.strip().replace("{events}", "events") for text in (EVENT_TRIPS, _MOVED)]
+)
+ORACLE["lake_moved_rides_stream_first"] = ORACLE["lake_moved_rides"]

@@ -577,6 +577,40 @@ def lake_late_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_with_texts(spark, f"{base}/lake")
 
 
+MOVED_DAYS = 20
+
+
+def _moved(spark: SparkSession, sf_dir: str, stream_first: bool) -> DataFrame:
+    """Every ride by files that arrive, a third of them under a later date, and the even ones by a batch load under their own.
+
+    Each counts once, wherever the two meet: as the load has it, or else as it arrived.
+    """
+    base = fresh_path(spark, "moved")
+    daily, raw = event_weather(spark, sf_dir), event_trips(spark, sf_dir)
+    number = F.col("ride_id").cast("long")
+    shift = F.when(number % 3 == 0, F.expr(f"interval {MOVED_DAYS} day")).otherwise(F.expr("interval 0 day"))
+    _as_files(raw.withColumns({c: F.col(c) + shift for c in ("started_at", "ended_at")}), f"{base}/in/all")
+
+    def stream() -> None:
+        run_incremental(spark, f"{base}/in", daily, f"{base}/lake", f"{base}/checkpoint")
+
+    def batch() -> None:
+        write_silver(materialise(clean.typed(raw.where(number % 2 == 0), schemas.TYPED_TRIPS), "event-trips"), daily, f"{base}/lake", "events")
+        silver_to_gold(spark, f"{base}/lake", ["events"])
+
+    for step in (stream, batch) if stream_first else (batch, stream):
+        step()
+    return fact_with_texts(spark, f"{base}/lake")
+
+
+def lake_moved_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved(spark, sf_dir, False)
+
+
+def lake_moved_rides_stream_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved(spark, sf_dir, True)
+
+
 def dim_station_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations after a second load under other names and a renaming over both."""
     root = fresh_path(spark, "renamed")
@@ -701,6 +735,8 @@ QUERIES: dict[str, Query] = {
     "lake_corrected_load": lake_corrected_load,
     "lake_stream_then_batch": lake_stream_then_batch,
     "lake_batch_then_stream": lake_batch_then_stream,
+    "lake_moved_rides": lake_moved_rides,
+    "lake_moved_rides_stream_first": lake_moved_rides_stream_first,
     "lake_late_weather": lake_late_weather,
     "dim_station_renamed": dim_station_renamed,
     "event_duration_by_day": event_duration_by_day,

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in the directory ``path``; none if it does not exist."""
+    files, where = _at(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, where = _at(spark, path)
     files.delete(where, True)

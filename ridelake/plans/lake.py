@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ridelake import paths, schemas
 from ridelake.operators.clean import cast_trips, require_columns
 from ridelake.operators.lookup import fits, sized
+from ridelake.operators.membership import build_filters, possible
 from ridelake.plans.silver import build_silver
 from ridelake.plans.star import (
     FACT_INPUTS,
@@ -44,6 +45,7 @@ BY_MONTH = ["year", "month"]
 # The Silver load that streamed rows are stored under.
 ARRIVALS = "arrivals"
 _MONTHS = "year int, month int"
+FILTER_FILES = 8  # at most, that one write of filters adds
 
 
 def write_silver(
@@ -72,12 +74,14 @@ def write_silver(
     silver = build_silver(trips, daily, rules, holiday_years)
     touched = months()
     note_changes(spark, root, load, touched)
+    # a load without filters is looked through, so a stop before they are written again loses nothing
+    paths.remove(spark, layout.ride_ids(load))
     write_partitioned(silver, layout.silver(load), BY_MONTH, dynamic=False, clustered=clustered)
     refresh(spark, layout.silver(load))
-    touched = months() - touched
+    note_rides(read_or_empty(spark, layout.silver(load), schemas.SILVER), root, load)
+    note_changes(spark, root, load, months() - touched)
     if load != ARRIVALS:
-        touched |= supersede_arrivals(spark, root, load)
-    note_changes(spark, root, load, touched)
+        supersede_arrivals(spark, root, load)
 
 
 def note_changes(spark: SparkSession, root: str, load: str, months: set[tuple[int, int]]) -> None:
@@ -85,6 +89,43 @@ def note_changes(spark: SparkSession, root: str, load: str, months: set[tuple[in
         append_rows(spark.createDataFrame(sorted(months), _MONTHS).coalesce(1), Layout(root).changes(load))
 
 
+def note_rides(rows: DataFrame, root: str, load: str) -> None:
+    """Add filters over the ride ids of ``rows`` to those of ``load``."""
+    path = Layout(root).ride_ids(load)
+    append_rows(build_filters(rows.select(*BY_MONTH, "ride_id"), BY_MONTH, "ride_id").coalesce(FILTER_FILES), path)
+    refresh(rows.sparkSession, Layout(root).ride_ids())
+
+
+def stored_rides(spark: SparkSession, root: str, loads: list[str], months: list[tuple[int, int]] | None = None) -> DataFrame:
+    """(load, year, month, ride_id) as Silver stores them, of some loads and, if given, months."""
+    stored = read_or_empty(spark, Layout(root).silver(), schemas.SILVER_STORED).filter(F.col("load").isin(*loads))
+    return (stored if months is None else stored.filter(in_months(months))).select("load", *BY_MONTH, "ride_id")
+
+
+def held_rides(ids: DataFrame, root: str) -> DataFrame | None:
+    """(ride_id, year, month) of those of the stored ``ids`` that Silver holds, in whatever load; None if no stored id had to be read.
+
+    Ids are read of the months only whose filters may hold one; a load that has no filters is read whole.
+    """
+    spark, layout = ids.sparkSession, Layout(root)
+    loads = [c.split("=", 1)[1] for c in paths.children(spark, layout.silver()) if c.startswith("load=")]
+    filtered = {c.split("=", 1)[1] for c in paths.children(spark, layout.ride_ids()) if c.startswith("load=")}
+    parts = []
+    if plain := [load for load in loads if load not in filtered]:
+        parts.append(stored_rides(spark, root, plain).join(sized(ids), "ride_id", "left_semi"))
+    if filtered:
+        filters = read_or_empty(spark, layout.ride_ids(), schemas.RIDE_FILTERS)
+        maybe = materialise(possible(ids, filters, [*BY_MONTH, "load"], "ride_id"), "possible-rides")
+        where = [tuple(r) for r in maybe.select("load", *BY_MONTH).distinct().collect()]  # at most one for each stored month
+        if where:
+            stored = stored_rides(spark, root, sorted({w[0] for w in where}), sorted({w[1:] for w in where}))
+            parts.append(stored.join(sized(maybe), ["load", *BY_MONTH, "ride_id"], "left_semi"))
+    if not parts:
+        return None
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return materialise(found.select("ride_id", *BY_MONTH).distinct(), "held-rides")
+
+
 def supersede_arrivals(spark: SparkSession, root: str, load: str) -> set[tuple[int, int]]:
     """Drop the arrivals that ``load`` holds too; returns the months they were in.
 
@@ -99,6 +140,7 @@ def supersede_arrivals(spark: SparkSession, root: str, load: str) -> set[tuple[i
     gone = materialise(ids.join(held, "ride_id", "left_semi"), "superseded")
     months = months_of(gone)
     if months:
+        note_changes(spark, root, load, set(months))
         kept = stored.filter(in_months(months)).join(sized(gone.select("ride_id")), "ride_id", "left_anti")
         staged = materialise(kept, "arrivals-kept")
         write_partitioned(staged, layout.silver(ARRIVALS), BY_MONTH)

@@ -12,6 +12,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
 }
 
 
@@ -197,3 +198,13 @@ FULL_WEATHER_NUMBERS = (
 )
 # Position of each weather event in the FRSHTT text.
 WEATHER_EVENTS = ("fog", "rain", "snow", "hail", "thunder", "tornado")
+
+# Filters over the ride ids of a stored month.
+RIDE_FILTERS = layout("""
+    year int
+    month int
+    blocks bigint
+    block bigint
+    bitmap binary
+    load string
+""")

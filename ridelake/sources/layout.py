@@ -23,6 +23,10 @@ class Layout:
         """Months of Silver that were rewritten and that Gold has not followed yet."""
         return f"{self.root}/silver_changes" if load is None else f"{self.root}/silver_changes/load={load}"
 
+    def ride_ids(self, load: str | None = None) -> str:
+        """Filters over the ride ids of Silver, by load."""
+        return f"{self.root}/silver_ids" if load is None else f"{self.root}/silver_ids/load={load}"
+
     def dimension(self, name: str) -> str:
         return f"{self.root}/gold/dimensions/{name}"
 

@@ -1,8 +1,9 @@
 """File arrivals to Silver and Gold with Structured Streaming.
 
 Each micro-batch is one set of new files. It is cleaned, enriched and appended
-to Silver and then to the fact; rows whose ride id a layer already holds for the
-month are left out. Nothing stored is rewritten, a late file for an old month
+to Silver and then to the fact; rides that Silver already holds, under whatever
+month and load, are left out. Filters kept by month say where to look: a batch
+without repeats reads no stored id. Nothing stored is rewritten, a late file for an old month
 needs no recompute of that month, and running a batch again after a failure adds
 only what is missing.
 """
@@ -13,7 +14,7 @@ from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.operators.clean import cast_trips
@@ -22,8 +23,10 @@ from ridelake.plans.lake import (
     ARRIVALS,
     BY_MONTH,
     grow_dimension,
+    held_rides,
     in_months,
     months_of,
+    note_rides,
     stored_dimensions,
 )
 from ridelake.plans.silver import build_silver
@@ -48,18 +51,6 @@ def arriving_trips(spark: SparkSession, in_dir: str, max_files: int | None = Non
     return reader.csv(in_dir)
 
 
-def _absent(
-    rows: DataFrame, path: str, schema: T.StructType, months: list[tuple[int, int]]
-) -> DataFrame:
-    """Rows whose ride id the layer at ``path`` lacks for their month."""
-    keys = [*BY_MONTH, "ride_id"]
-    stored = read_or_empty(rows.sparkSession, path, schema).filter(in_months(months)).select(*keys)
-    # A month holds far more rides than a batch. The batch's ids, measured and
-    # sent to the scan, leave only the few that both have.
-    held = stored.join(sized(rows.select(*keys).distinct()), keys, "left_semi")
-    return rows.join(held, keys, "left_anti")
-
-
 def load_batch(
     raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet = SILVER
 ) -> list[tuple[int, int]]:
@@ -72,30 +63,54 @@ def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) ->
     spark, layout = raw.sparkSession, Layout(root)
     arrived = build_silver(cast_trips(raw), daily, replace(rules, dedup_rides=True))
     batch = materialise(arrived, "arrivals")
+    # one id may come under two months in one batch: the first keeps it
+    batch = first_month(batch)
+    held = held_rides(materialise(batch.select("ride_id").distinct(), "batch-ids"), root)
+    fresh, unposted = batch, None
+    if held is not None:
+        fresh = materialise(batch.join(sized(held.select("ride_id").distinct()), "ride_id", "left_anti"), "fresh")
+        # what an earlier run of this batch stored but did not carry to the fact; a ride that Silver has in another month stays there
+        own = materialise(batch.join(sized(held), ["ride_id", *BY_MONTH], "left_semi"), "stored-before")
+        if months := months_of(own):
+            # the month's ids meet the few of ``own`` in the scan, before anything is shuffled
+            posted = read_or_empty(spark, layout.fact, schemas.FACT_TRIPS).filter(in_months(months)).select("ride_id")
+            posted = posted.join(sized(own.select("ride_id").distinct()), "ride_id", "left_semi")
+            unposted = own.join(posted, "ride_id", "left_anti")
+    ours = fresh if unposted is None else materialise(fresh.unionByName(unposted), "unposted")
     # A batch spans few months; each names one partition of the stored layers.
-    months = months_of(batch)
+    months = months_of(ours)
     if not months:
         return months
 
     def add_silver() -> None:
-        fresh = _absent(batch, layout.silver(), schemas.SILVER_STORED, months)
+        # filters first: one that holds more than Silver costs a look, one that holds less a repeated ride
+        note_rides(fresh, root, ARRIVALS)
         write_partitioned(fresh, layout.silver(ARRIVALS), BY_MONTH, mode="append")
 
     def add_dates() -> None:
         path = layout.dimension("dim_date")
         known = read_or_empty(spark, path, schemas.DIM_DATE).select("date_key")
-        added = date_members(batch).join(known, "date_key", "left_anti")
+        added = date_members(ours).join(known, "date_key", "left_anti")
         write_partitioned(added, path, BY_MONTH, mode="append")
 
-    together(spark, add_silver, add_dates, *[partial(grow_dimension, batch, root, dim) for dim in KEYED])
+    together(spark, add_silver, add_dates, *[partial(grow_dimension, ours, root, dim) for dim in KEYED])
     dimensions, _ = stored_dimensions(spark, root)
-    unposted = _absent(batch.select(*FACT_INPUTS), layout.fact, schemas.FACT_TRIPS, months)
-    write_partitioned(build_fact(unposted, dimensions), layout.fact, BY_MONTH, mode="append")
+    write_partitioned(build_fact(ours.select(*FACT_INPUTS), dimensions), layout.fact, BY_MONTH, mode="append")
     refresh(spark, layout.fact)
     refresh(spark, layout.silver())
     return months
 
 
+def first_month(rows: DataFrame) -> DataFrame:
+    """Of an id that comes under several months the row of the first; an aggregate over ids, joined to those few alone."""
+    month = F.col("year") * 100 + F.col("month")
+    many = materialise(rows.groupBy("ride_id").agg(F.min(month).alias("first"), F.max(month).alias("last")).where("first < last"), "two-months")
+    if many.isEmpty():
+        return rows
+    kept = rows.join(sized(many.select("ride_id", "first")), "ride_id", "left")
+    return kept.where(F.col("first").isNull() | (F.col("first") == month)).select(*rows.columns)
+
+
 def run_incremental(
     spark: SparkSession,
     in_dir: str,

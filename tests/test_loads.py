@@ -9,14 +9,16 @@ from helpers import days, raw_trips, rows
 from pyspark.sql import functions as F
 
 from ridelake import paths, schemas
+from ridelake.operators import membership
 from ridelake.operators.clean import cast_trips
 from ridelake.plans import lake, profile, silver
 from ridelake.session import fresh_path, materialise, scratch, shared_folder
 from ridelake.sinks.catalog import register
 from ridelake.sinks.layers import recover, swap_table
 from ridelake.sources.layout import Layout
+from ridelake.sources.tables import read_or_empty
 from ridelake.sources.trips import unzip_trips
-from ridelake.streaming.incremental import _absent, load_batch
+from ridelake.streaming.incremental import load_batch
 
 
 def trip(i, day, **more):
@@ -74,9 +76,23 @@ def test_jobs_and_batches_leave_no_scratch_tables(spark):
 def test_stored_ids_are_reduced_before_any_exchange(spark):
     root = fresh_path(spark, "reduced")
     load_batch(raw_trips(spark, trip(1, "07-11"), trip(2, "07-12")), days(spark, {}), root)
-    batch = materialise(lake.read_silver(spark, root).limit(1), "batch")
-    plan = _absent(batch, Layout(root).silver(), schemas.SILVER_STORED, [(2024, 7)])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "hashpartitioning(year" not in plan.split("LeftSemi")[0]
+    ids = materialise(lake.read_silver(spark, root).limit(1).select("ride_id"), "batch")
+    filters = read_or_empty(spark, Layout(root).ride_ids(), schemas.RIDE_FILTERS)
+    plan = membership.possible(ids, filters, [*lake.BY_MONTH, "load"], "ride_id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.index("BroadcastHashJoin") > plan.index("Exchange")
+
+
+def test_filters_miss_no_id_and_name_few_others(spark):
+    ids = spark.range(60_000).selectExpr("cast(id % 3 as int) month", "cast(sha1(cast(id as string)) as string) ride_id")
+    ids = materialise(ids.union(spark.range(40_000).selectExpr("7", "concat('hot', id)")), "ids")
+    filters = materialise(membership.build_filters(ids, ["month"], "ride_id"), "filters")
+    asked = materialise(ids.where("month = 1 or month = 7").select("ride_id").union(spark.range(30_000).selectExpr("concat('new', id)")), "asked")
+    found = membership.possible(asked, filters, ["month"], "ride_id")
+    assert found.join(ids, ["month", "ride_id"], "left_semi").count() == 60_000
+    assert found.count() - 60_000 < 20  # of 390,000 tests that should fail
+    sizes = dict(rows(filters.groupBy("month").agg(F.max("blocks")), "month", "max(blocks)"))
+    assert sizes == {0: 32, 1: 32, 2: 32, 7: 64}
+    assert membership.possible(asked, filters.limit(0), ["month"], "ride_id").count() == 0
 
 
 def test_compaction_keeps_rows_and_bounds_files(spark):

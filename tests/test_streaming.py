@@ -1,12 +1,12 @@
 from helpers import days, raw_trips, rows
 from pyspark.sql import functions as F
 
-from ridelake import schemas
+from ridelake import paths
 from ridelake.operators.clean import cast_trips
 from ridelake.plans import lake
-from ridelake.session import fresh_path
+from ridelake.session import fresh_path, materialise
 from ridelake.sources.layout import Layout
-from ridelake.streaming.incremental import _absent, load_batch, run_incremental
+from ridelake.streaming.incremental import load_batch, run_incremental
 
 
 def trip(i, day, **more):
@@ -78,10 +78,43 @@ def test_an_empty_batch_is_harmless(spark):
 def test_only_touched_months_are_read(spark):
     root, daily = fresh_path(spark, "prune"), days(spark, {})
     load_batch(raw_trips(spark, trip(1, "07-11"), trip(2, "08-11")), daily, root)
-    batch = lake.read_silver(spark, root).filter("month = 8")
-    missing = _absent(batch, Layout(root).silver(), schemas.SILVER_STORED, [(2024, 8)])
-    assert missing.count() == 0
-    plan = missing._jdf.queryExecution().executedPlan().toString()
-    held = plan[plan.rindex("FileScan"):]
-    assert "ReadSchema: struct<ride_id:string>" in held
-    assert "PartitionFilters: [" in held and "= 8)" in held
+    ids = materialise(lake.read_silver(spark, root).filter("month = 8").select("ride_id"), "ids")
+    assert rows(lake.held_rides(ids, root)) == [("r2", 2024, 8)]
+    stored = lake.stored_rides(spark, root, ["arrivals"], [(2024, 8)])
+    assert rows(stored) == [("arrivals", 2024, 8, "r2")]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = lake.stored_rides(spark, root, ["arrivals"], [(2024, 8)])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "ReadSchema: struct<ride_id:string>" in plan
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "load" in filters and "month" in filters and "202408" in filters
+
+
+def test_a_batch_without_repeats_reads_no_stored_ids(spark, monkeypatch):
+    root, daily = fresh_path(spark, "filters"), days(spark, {})
+    lake.write_silver(cast_trips(raw_trips(spark, *[trip(k, "06-11") for k in range(50)])), daily, root, "early")
+    load_batch(raw_trips(spark, trip(100, "07-11"), trip(101, "08-11")), daily, root)
+    looked = []
+    real = lake.stored_rides
+
+    def look(*args):
+        looked.append(args[2:])
+        return real(*args)
+
+    monkeypatch.setattr(lake, "stored_rides", look)
+    load_batch(raw_trips(spark, *[trip(k, "07-11") for k in range(200, 400)]), daily, root)
+    assert looked == [] and lake.read_gold(spark, root)["fact_trips"].count() == 202
+    # one ride of each load, under other months
+    load_batch(raw_trips(spark, trip(7, "09-01"), trip(101, "09-02"), trip(500, "09-03")), daily, root)
+    assert looked == [(["arrivals", "early"], [(2024, 6), (2024, 8)])]
+    assert rows(lake.read_gold(spark, root)["fact_trips"].filter("month = 9"), "ride_id") == [("r500",)]
+    # without its filters a load is read whole, and nothing counts twice
+    paths.remove(spark, Layout(root).ride_ids("early"))
+    assert load_batch(raw_trips(spark, trip(8, "09-01")), daily, root) == []
+    assert looked[1:] == [(["early"],)]
+
+
+def test_an_id_under_two_months_of_one_batch_counts_once(spark):
+    root, daily = fresh_path(spark, "twice"), days(spark, {})
+    assert load_batch(raw_trips(spark, trip(1, "08-11"), trip(1, "07-11"), trip(2, "08-12")), daily, root) == [(2024, 7), (2024, 8)]
+    assert rows(lake.read_gold(spark, root)["fact_trips"], "ride_id", "date_key") == [("r1", 20240711), ("r2", 20240812)]
