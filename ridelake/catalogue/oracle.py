@@ -740,3 +740,32 @@ ORACLE["lake_moved_rides"] = ORACLE["stream_two_drops"].replace(
     *[text.strip().replace("{events}", "events") for text in (EVENT_TRIPS, _MOVED)]
 )
 ORACLE["lake_moved_rides_stream_first"] = ORACLE["lake_moved_rides"]
+
+# States after three loads: all of Silver but 1993.
+_KEPT = "kept AS (SELECT * FROM silver WHERE year <> 1993)"
+
+
+def _kept(query: str) -> str:
+    return _sql([*_ORDERS, _CLEAN_WEATHER, _SILVER, _KEPT], query)
+
+
+ORACLE["station_imbalance_incremental"] = _kept(
+    """SELECT month, station_id, CAST(sum(i) AS BIGINT) AS inflow, CAST(sum(o) AS BIGINT) AS outflow,
+       CAST(sum(i) - sum(o) AS BIGINT) AS imbalance_index
+       FROM (SELECT strftime(started_at, '%Y-%m') AS month, start_station_id AS station_id, 0 AS i, 1 AS o FROM kept
+             UNION ALL SELECT strftime(started_at, '%Y-%m'), end_station_id, 1, 0 FROM kept) GROUP BY 1, 2"""
+)
+ORACLE["station_demand_incremental"] = _kept(
+    """SELECT month, station_id, trips FROM (
+         SELECT *, row_number() OVER (PARTITION BY month ORDER BY trips DESC, station_id) AS rn FROM (
+           SELECT strftime(started_at, '%Y-%m') AS month, start_station_id AS station_id, count(*) AS trips FROM kept GROUP BY 1, 2))
+       WHERE rn <= 10"""
+)
+ORACLE["rides_by_hour_incremental"] = _kept("SELECT start_hour, count(*) AS trips FROM kept GROUP BY 1")
+ORACLE["corr_from_states"] = _kept(
+    " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, ROUND(corr({a}, {b}), 6) AS r FROM kept" for i, a in enumerate(_CORR_COLUMNS) for b in _CORR_COLUMNS[i:])
+)
+ORACLE["distinct_by_sketch"] = _kept("SELECT year, month, count(DISTINCT ride_id) AS exact, TRUE AS near FROM kept GROUP BY 1, 2")
+ORACLE["duration_quantiles_by_sketch"] = _kept(
+    "SELECT (SELECT count(*) FROM kept) AS trips, share, TRUE AS near FROM (VALUES (0.01E0), (0.25E0), (0.5E0), (0.75E0), (0.99E0)) v(share)"
+)

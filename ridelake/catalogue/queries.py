@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ridelake import schemas
 from ridelake.catalogue.relations import (
+    _per_session,
     as_text,
     daily_weather,
     event_trips,
@@ -27,7 +28,7 @@ from ridelake.functions.bands import banded
 from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
 from ridelake.operators.lookup import left_lookup, sized
-from ridelake.plans import demand, impact, indicators, profile, silver, star, variants
+from ridelake.plans import demand, impact, indicators, profile, silver, star, states, variants
 from ridelake.plans.lake import (
     BY_MONTH,
     read_gold,
@@ -536,6 +537,48 @@ def lake_corrected_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_with_texts(spark, root)
 
 
+def _states_after_three_loads(spark: SparkSession, sf_dir: str) -> str:
+    """A lake whose states follow three loads: two that meet in a month, and the first one again without a year."""
+    root = fresh_path(spark, "states")
+    trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
+    early = (F.year("started_at") < 1995) | ((F.year("started_at") == 1995) & (F.col("ride_id").cast("long") % 2 == 0))
+    for load, rows in (("early", trips.filter(early)), ("late", trips.filter(~early)), ("early", trips.filter(early & (F.year("started_at") != 1993)))):
+        write_silver(rows, daily, root, load)
+        states.refresh_states(spark, root)
+    return root
+
+
+def _states_lake(spark: SparkSession, sf_dir: str) -> str:
+    return _per_session("states", spark, sf_dir, lambda: _states_after_three_loads(spark, sf_dir))
+
+
+def _on_states(build: Callable[[SparkSession, str], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(spark, _states_lake(spark, sf_dir))
+
+
+def distinct_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct rides by month, and whether the stored sketch is within three standard errors of it."""
+    root = _states_lake(spark, sf_dir)
+    exact = read_silver(spark, root).groupBy(*BY_MONTH).agg(F.count_distinct("ride_id").alias("exact"))
+    found = states.distinct_estimates(spark, root, BY_MONTH)
+    near = F.abs(F.col("rides") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * states.DISTINCT_ERROR * F.col("exact"))
+    return exact.join(found, BY_MONTH, "left").select(*BY_MONTH, "exact", F.coalesce(near, F.lit(False)).alias("near"))
+
+
+SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+def duration_quantiles_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in all, and whether the ranks around each quantile of the stored sketches hold the share asked for."""
+    root = _states_lake(spark, sf_dir)
+    asked = {r["share"]: r["minutes"] for r in states.duration_quantiles(spark, root, SHARES).collect()}
+    minutes, n = F.col("trip_duration_min"), F.count(F.lit(1))
+    ranks = [F.struct(F.lit(s).alias("share"), (F.count_if(minutes < v) / n).alias("below"), (F.count_if(minutes <= v) / n).alias("upto")) for s, v in sorted(asked.items())]
+    rows = read_silver(spark, root).agg(n.alias("trips"), F.array(*ranks).alias("ranks")).select("trips", F.inline("ranks"))
+    inside = (F.col("below") <= F.col("share") + states.RANK_ERROR) & (F.col("upto") >= F.col("share") - states.RANK_ERROR)
+    return rows.select("trips", "share", inside.alias("near"))
+
+
 def _as_files(rows: DataFrame, path: str) -> None:
     text = rows.select(*[F.col(n).cast("string").alias(n) for n in schemas.RAW_TRIPS.names])
     text.write.option("header", True).csv(path)
@@ -712,6 +755,12 @@ QUERIES: dict[str, Query] = {
         lambda t: profile.duration_histogram(t, low=None, high=None, bins=100)
     ),
     "numeric_corr": numeric_corr,
+    "station_imbalance_incremental": _on_states(states.station_imbalance),
+    "station_demand_incremental": _on_states(states.station_demand),
+    "rides_by_hour_incremental": _on_states(states.trips_by_hour),
+    "corr_from_states": _on_states(lambda s, root: states.correlations(states.read_states(s, root, "moments"))),
+    "distinct_by_sketch": distinct_by_sketch,
+    "duration_quantiles_by_sketch": duration_quantiles_by_sketch,
     "describe_trips": describe_trips,
     "describe_text": describe_text,
     "dataset_shape": dataset_shape,

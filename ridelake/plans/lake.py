@@ -84,9 +84,13 @@ def write_silver(
         supersede_arrivals(spark, root, load)
 
 
-def note_changes(spark: SparkSession, root: str, load: str, months: set[tuple[int, int]]) -> None:
+def note_changes(spark: SparkSession, root: str, load: str | None, months: set[tuple[int, int]]) -> None:
+    """Note months for the monthly states and, with a ``load``, for the run that carries it to Gold."""
     if months:
-        append_rows(spark.createDataFrame(sorted(months), _MONTHS).coalesce(1), Layout(root).changes(load))
+        rows = spark.createDataFrame(sorted(months), _MONTHS).coalesce(1)
+        append_rows(rows, Layout(root).state_changes)
+        if load is not None:
+            append_rows(rows, Layout(root).changes(load))
 
 
 def note_rides(rows: DataFrame, root: str, load: str) -> None:

@@ -23,6 +23,15 @@ class Layout:
         """Months of Silver that were rewritten and that Gold has not followed yet."""
         return f"{self.root}/silver_changes" if load is None else f"{self.root}/silver_changes/load={load}"
 
+    def states(self, name: str | None = None) -> str:
+        """Tables of monthly states."""
+        return f"{self.root}/states" if name is None else f"{self.root}/states/{name}"
+
+    @property
+    def state_changes(self) -> str:
+        """Months of Silver that were written and that the states have not followed yet."""
+        return f"{self.root}/state_changes"
+
     def ride_ids(self, load: str | None = None) -> str:
         """Filters over the ride ids of Silver, by load."""
         return f"{self.root}/silver_ids" if load is None else f"{self.root}/silver_ids/load={load}"

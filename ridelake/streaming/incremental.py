@@ -26,6 +26,7 @@ from ridelake.plans.lake import (
     held_rides,
     in_months,
     months_of,
+    note_changes,
     note_rides,
     stored_dimensions,
 )
@@ -84,6 +85,7 @@ def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) ->
 
     def add_silver() -> None:
         # filters first: one that holds more than Silver costs a look, one that holds less a repeated ride
+        note_changes(spark, root, None, set(months))
         note_rides(fresh, root, ARRIVALS)
         write_partitioned(fresh, layout.silver(ARRIVALS), BY_MONTH, mode="append")
 
