@@ -31,6 +31,7 @@ from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star, states, variants
 from ridelake.plans.lake import (
     BY_MONTH,
+    gold_tables,
     read_gold,
     raw_to_silver,
     read_silver,
@@ -466,7 +467,7 @@ def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per month through the registered external tables."""
     root = lake(spark, sf_dir)
     database = "gold_" + root.rsplit("-", 1)[-1]
-    register_gold(spark, database, root)
+    register_gold(spark, database, gold_tables(spark, root))
     fact, dates = spark.table(f"{database}.fact_trips"), spark.table(f"{database}.dim_date")
     return (
         fact.groupBy("date_key", *BY_MONTH)

@@ -21,6 +21,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    files, where = _at(spark, path)
+    stream = files.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; an error if it exists."""
+    files, where = _at(spark, path)
+    stream = files.create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, where = _at(spark, path)
     files.delete(where, True)

@@ -28,14 +28,9 @@ from ridelake.plans.star import (
 )
 from ridelake.rules import SILVER, RuleSet
 from ridelake.session import materialise, scratch, together
-from ridelake.sinks.layers import (
-    append_rows,
-    drop_partitions,
-    recover,
-    refresh,
-    swap_table,
-    write_partitioned,
-)
+from ridelake.sinks.catalog import GOLD_TABLES
+from ridelake.sinks.layers import append_rows, drop_partitions, refresh, write_partitioned
+from ridelake.sinks.versions import Publication, VersionedTables
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
 from ridelake.sources.trips import read_trips
@@ -174,17 +169,17 @@ def in_months(months: list[tuple[int, int]]) -> Column:
     return F.col("year").between(min(years), max(years)) & number.isin([y * 100 + m for y, m in months])
 
 
-def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The fact and all dimensions, as stored."""
+def gold_tables(spark: SparkSession, root: str) -> VersionedTables:
     layout = Layout(root)
-    tables = {dim.name: spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)) for dim in KEYED}
-    dates = spark.read.schema(schemas.DIM_DATE).parquet(layout.dimension("dim_date"))
-    fact = spark.read.schema(schemas.FACT_TRIPS).parquet(layout.fact)
-    return {
-        **tables,
-        "dim_date": dates.select(*schemas.DIM_DATE.names),
-        "fact_trips": fact.select(*schemas.FACT_TRIPS.names),
-    }
+    folders = {name: layout.fact if name == "fact_trips" else layout.dimension(name) for name in GOLD_TABLES}
+    return VersionedTables(spark, layout.gold, GOLD_TABLES, folders)
+
+
+def read_gold(spark: SparkSession, root: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The fact and all dimensions of one version, the last by default."""
+    tables = gold_tables(spark, root)
+    one = tables.version(version)
+    return {name: tables.read(name, one) for name in [*[dim.name for dim in KEYED], "dim_date", "fact_trips"]}
 
 
 def raw_to_silver(
@@ -208,34 +203,24 @@ def raw_to_silver(
         write_silver(trips, weather, root, str(year), rules, [year], clustered=True)
 
 
-def grow_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
-    """Append the members that ``silver`` adds; stored rows are never rewritten.
+def grow_dimension(silver: DataFrame, gold: Publication, dim: Dimension) -> None:
+    """Add the members that ``silver`` brings; stored rows are never rewritten.
 
     Safe to repeat: a second run finds nothing new.
     """
-    spark, path = silver.sparkSession, Layout(root).dimension(dim.name)
-    recover(spark, path)
-    existing = read_or_empty(spark, path, dim.schema)
-    added = new_members(members_of(silver, dim), existing, dim)
+    added = new_members(members_of(silver, dim), gold.read(dim.name), dim)
     if added is not None:
-        append_rows(added, path)
-        refresh(spark, path)
+        gold.add(dim.name, added)
 
 
-def rebuild_dimension(silver: DataFrame, root: str, dim: Dimension) -> None:
+def rebuild_dimension(silver: DataFrame, gold: Publication, dim: Dimension) -> None:
     """Number all members again; only right when the whole fact is rewritten too."""
-    path = Layout(root).dimension(dim.name)
-    recover(silver.sparkSession, path)
-    existing = read_or_empty(silver.sparkSession, path, dim.schema)
-    swap_table(upsert_dimension(members_of(silver, dim), existing, dim, mode="rebuild"), path)
+    gold.replace(dim.name, upsert_dimension(members_of(silver, dim), gold.read(dim.name), dim, mode="rebuild"))
 
 
-def stored_dimensions(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], bool]:
+def stored_dimensions(spark: SparkSession, gold: Publication) -> tuple[dict[str, DataFrame], bool]:
     """The keyed dimensions as lookup sides, and whether all of them are broadcast."""
-    layout = Layout(root)
-    stored = {
-        dim.name: spark.read.schema(dim.schema).parquet(layout.dimension(dim.name)) for dim in KEYED
-    }
+    stored = {dim.name: gold.read(dim.name) for dim in KEYED}
     small = dict(zip(stored, together(spark, *[partial(fits, table) for table in stored.values()])))
     marked = {name: F.broadcast(t) if small[name] else t for name, t in stored.items()}
     return marked, all(small.values())
@@ -251,8 +236,8 @@ def silver_to_gold(
 
     Every month that one of ``loads`` has rows in, or had before it was written
     again, is replaced in the fact and in ``dim_date``, from the rows of all
-    loads; a month without rows is removed. A whole run replaces all months. The
-    ``rebuild`` mode changes keys and therefore needs a whole run. Returns the
+    loads; a month without rows is removed. A whole run replaces all months. All tables
+    change at once, when the run publishes them. The ``rebuild`` mode changes keys and therefore needs a whole run. Returns the
     row counts going in and coming out, which differ only if a dimension is not
     unique; ``stored_counts`` tells what the fact then holds.
     """
@@ -271,15 +256,14 @@ def _to_gold(spark: SparkSession, root: str, loads: list[str] | None, mode: str)
         months = sorted({*months_of(read_silver(spark, root, loads)), *changed})
         silver = silver.filter(in_months(months))
     update = {"stable": grow_dimension, "rebuild": rebuild_dimension}[mode]
-    layout = Layout(root)
+    gold = gold_tables(spark, root).begin()
+    replaced = None if loads is None else months
     together(
         spark,
-        *[partial(update, silver, root, dim) for dim in KEYED],
-        lambda: write_partitioned(
-            date_members(silver), layout.dimension("dim_date"), BY_MONTH, dynamic=loads is not None
-        ),
+        *[partial(update, silver, gold, dim) for dim in KEYED],
+        lambda: gold.replace("dim_date", date_members(silver), replaced),
     )
-    dimensions, all_broadcast = stored_dimensions(spark, root)
+    dimensions, all_broadcast = stored_dimensions(spark, gold)
     rows_in, rows_out = Observation("silver_rows"), Observation("fact_rows")
     # The observation counts what the scan delivers, so it comes after the
     # projection: columns are not pruned through it.
@@ -287,20 +271,17 @@ def _to_gold(spark: SparkSession, root: str, loads: list[str] | None, mode: str)
     fact = build_fact(counted, dimensions).observe(rows_out, F.count(F.lit(1)).alias("n"))
     # Silver is stored by month. As long as no lookup shuffles, its scan tasks
     # still hold one month each when the fact is written.
-    write_partitioned(fact, layout.fact, BY_MONTH, dynamic=loads is not None, clustered=all_broadcast)
+    gold.replace("fact_trips", fact, replaced, clustered=all_broadcast)
     counts_now = {"silver_rows": rows_in.get["n"], "fact_rows": rows_out.get["n"]}
-    empty = sorted(set(months) - set(months_of(silver)))
-    for path in (layout.fact, layout.dimension("dim_date")):
-        drop_partitions(spark, path, BY_MONTH, empty)
-        refresh(spark, path)
+    gold.publish()
     for load in [None] if loads is None else loads:
-        paths.remove(spark, layout.changes(load))
+        paths.remove(spark, Layout(root).changes(load))
     return counts_now
 
 
 def stored_counts(spark: SparkSession, root: str) -> DataFrame:
     """(year, month, fact_rows, silver_rows) as stored; they differ where Gold has not followed Silver."""
-    facts = read_or_empty(spark, Layout(root).fact, schemas.FACT_TRIPS).groupBy(*BY_MONTH).agg(F.count(F.lit(1)).alias("fact_rows"))
+    facts = gold_tables(spark, root).read("fact_trips").groupBy(*BY_MONTH).agg(F.count(F.lit(1)).alias("fact_rows"))
     silver = read_silver(spark, root).groupBy(*BY_MONTH).agg(F.count(F.lit(1)).alias("silver_rows"))
     return facts.join(silver, BY_MONTH, "full").na.fill(0, ["fact_rows", "silver_rows"])
 
@@ -312,14 +293,14 @@ def rename_stations(spark: SparkSession, root: str) -> None:
     brings them. This reads three columns of the whole of Silver, so it is a
     job of its own.
     """
-    path = Layout(root).dimension(STATION.name)
-    recover(spark, path)
+    gold = gold_tables(spark, root).begin()
     with scratch(spark):
         names = materialise(station_members(read_silver(spark, root)), "station-names")
-        stored = spark.read.schema(STATION.schema).parquet(path)
+        stored = gold.read(STATION.name)
         named = stored.join(names.withColumnRenamed("station_name", "now"), STATION.natural, "left")
         known = F.coalesce("now", "station_name").alias("station_name")
-        swap_table(named.select(*[known if c == "station_name" else c for c in stored.columns]), path)
+        gold.replace(STATION.name, named.select(*[known if c == "station_name" else c for c in stored.columns]))
+        gold.publish()
 
 
 def refresh_weather(spark: SparkSession, root: str, daily: DataFrame, rules: RuleSet = SILVER) -> list[tuple[int, int]]:
@@ -350,10 +331,14 @@ def compact(spark: SparkSession, root: str, months: list[tuple[int, int]], files
     Every streamed batch appends a file per month. ``files`` bounds the files of
     a month; the default suits months below the size of one file.
     """
-    layout = Layout(root)
+    path, gold = Layout(root).silver(ARRIVALS), gold_tables(spark, root).begin()
+
+    def salted(rows: DataFrame) -> DataFrame:
+        return rows.repartition(max(1, len(months) * files), *BY_MONTH, F.floor(F.rand(7) * files))
+
     with scratch(spark):
-        for path, schema in ((layout.silver(ARRIVALS), schemas.SILVER), (layout.fact, schemas.FACT_TRIPS)):
-            rows = materialise(read_or_empty(spark, path, schema).filter(in_months(months)), "compact")
-            salted = rows.repartition(max(1, len(months) * files), *BY_MONTH, F.floor(F.rand(7) * files))
-            write_partitioned(salted, path, BY_MONTH, clustered=True)
-            refresh(spark, path)
+        rows = materialise(read_or_empty(spark, path, schemas.SILVER).filter(in_months(months)), "compact")
+        write_partitioned(salted(rows), path, BY_MONTH, clustered=True)
+        refresh(spark, path)
+        gold.replace("fact_trips", salted(gold.read("fact_trips").filter(in_months(months))), months, clustered=True)
+        gold.publish()

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from ridelake import schemas
+from ridelake.sinks.versions import WRITE, VersionedTables
 from ridelake.sources.layout import Layout
 
 GOLD_TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
@@ -28,9 +29,12 @@ def register(
     location: str,
     schema: T.StructType,
     partitions: tuple[str, ...] = (),
+    live: list[str] | None = None,
 ) -> list[str]:
     """Create or update one external table; returns the columns it had to add.
 
+    Its partitions are those found at the location or, if given, the ``live`` ones among them.
+
     A registration for another location is replaced; the data stays where it is.
     A column stored under another type than declared is an error.
     """
@@ -50,20 +54,38 @@ def register(
     if added:
         new = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({new})")
-    if partitions:
+    if partitions and live is None:
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    elif partitions:
+        _follow(spark, table, live)
     spark.catalog.refreshTable(table)
     return [f.name for f in added]
 
 
-def register_gold(spark: SparkSession, database: str, root: str) -> dict[str, list[str]]:
-    """Register the five dimensions and the fact below ``root``."""
-    layout = Layout(root)
+def _follow(spark: SparkSession, table: str, live: list[str]) -> None:
+    """Make the table's partitions the ``live`` ones, in two statements."""
+    have = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+    def named(specs: list[str]) -> list[str]:
+        return ["PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in (part.split("=", 1) for part in s.split("/"))) + ")" for s in specs]
+
+    if new := named(sorted(set(live) - have)):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    if old := named(sorted(have - set(live))):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(old)}")
+
+
+def register_gold(spark: SparkSession, database: str, tables: VersionedTables) -> dict[str, list[str]]:
+    """Register the five dimensions and the fact as the last version has them; ``write`` is a further partition column.
+
+    The catalog's tables change one after the other; who needs one version of all reads ``lake.read_gold``.
+    """
+    version = tables.version()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     report = {}
-    for name, (schema, partitions) in GOLD_TABLES.items():
-        location = layout.fact if name == "fact_trips" else layout.dimension(name)
-        report[name] = register(spark, f"{database}.{name}", location, schema, partitions)
+    for name, (schema, by) in GOLD_TABLES.items():
+        columns = T.StructType([*[f for f in schema if f.name not in by], T.StructField(WRITE, T.StringType()), *[f for f in schema if f.name in by]])
+        report[name] = register(spark, f"{database}.{name}", tables.folders[name], columns, (WRITE, *by), version.tables.get(name, []))
     return report
 
 

@@ -36,6 +36,10 @@ class Layout:
         """Filters over the ride ids of Silver, by load."""
         return f"{self.root}/silver_ids" if load is None else f"{self.root}/silver_ids/load={load}"
 
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
+
     def dimension(self, name: str) -> str:
         return f"{self.root}/gold/dimensions/{name}"
 

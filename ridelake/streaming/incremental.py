@@ -22,6 +22,7 @@ from ridelake.operators.lookup import sized
 from ridelake.plans.lake import (
     ARRIVALS,
     BY_MONTH,
+    gold_tables,
     grow_dimension,
     held_rides,
     in_months,
@@ -36,7 +37,6 @@ from ridelake.rules import SILVER, RuleSet
 from ridelake.session import materialise, scratch, together
 from ridelake.sinks.layers import refresh, write_partitioned
 from ridelake.sources.layout import Layout
-from ridelake.sources.tables import read_or_empty
 
 
 def arriving_trips(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
@@ -67,19 +67,19 @@ def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) ->
     # one id may come under two months in one batch: the first keeps it
     batch = first_month(batch)
     held = held_rides(materialise(batch.select("ride_id").distinct(), "batch-ids"), root)
-    fresh, unposted = batch, None
+    fresh, unposted, gold = batch, None, gold_tables(spark, root).begin()
     if held is not None:
         fresh = materialise(batch.join(sized(held.select("ride_id").distinct()), "ride_id", "left_anti"), "fresh")
         # what an earlier run of this batch stored but did not carry to the fact; a ride that Silver has in another month stays there
         own = materialise(batch.join(sized(held), ["ride_id", *BY_MONTH], "left_semi"), "stored-before")
         if months := months_of(own):
             # the month's ids meet the few of ``own`` in the scan, before anything is shuffled
-            posted = read_or_empty(spark, layout.fact, schemas.FACT_TRIPS).filter(in_months(months)).select("ride_id")
+            posted = gold.read("fact_trips").filter(in_months(months)).select("ride_id")
             posted = posted.join(sized(own.select("ride_id").distinct()), "ride_id", "left_semi")
             unposted = own.join(posted, "ride_id", "left_anti")
     ours = fresh if unposted is None else materialise(fresh.unionByName(unposted), "unposted")
     # A batch spans few months; each names one partition of the stored layers.
-    months = months_of(ours)
+    months = sorted(months_of(ours))
     if not months:
         return months
 
@@ -90,16 +90,14 @@ def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) ->
         write_partitioned(fresh, layout.silver(ARRIVALS), BY_MONTH, mode="append")
 
     def add_dates() -> None:
-        path = layout.dimension("dim_date")
-        known = read_or_empty(spark, path, schemas.DIM_DATE).select("date_key")
-        added = date_members(ours).join(known, "date_key", "left_anti")
-        write_partitioned(added, path, BY_MONTH, mode="append")
-
-    together(spark, add_silver, add_dates, *[partial(grow_dimension, ours, root, dim) for dim in KEYED])
-    dimensions, _ = stored_dimensions(spark, root)
-    write_partitioned(build_fact(ours.select(*FACT_INPUTS), dimensions), layout.fact, BY_MONTH, mode="append")
-    refresh(spark, layout.fact)
+        known = gold.read("dim_date").select("date_key")
+        gold.add("dim_date", date_members(ours).join(known, "date_key", "left_anti"))
+
+    together(spark, add_silver, add_dates, *[partial(grow_dimension, ours, gold, dim) for dim in KEYED])
+    dimensions, _ = stored_dimensions(spark, gold)
+    gold.add("fact_trips", build_fact(ours.select(*FACT_INPUTS), dimensions))
     refresh(spark, layout.silver())
+    gold.publish()
     return months
 
 

@@ -102,8 +102,11 @@ def test_compaction_keeps_rows_and_bounds_files(spark):
     before = stored_ids(spark, root)
     lake.compact(spark, root, [(2024, 7)])
     assert stored_ids(spark, root) == before
-    for path in (Layout(root).silver("arrivals"), Layout(root).fact):
-        assert sum(f.endswith(".parquet") for f in os.listdir(f"{path}/year=2024/month=7")) == 1
+    gold = lake.gold_tables(spark, root)
+    months = [d for d in gold.version().tables["fact_trips"] if d.endswith("month=7")]
+    assert len(months) == 1
+    for path in (f"{Layout(root).silver('arrivals')}/year=2024/month=7", f"{Layout(root).fact}/{months[0]}"):
+        assert sum(f.endswith(".parquet") for f in os.listdir(path)) == 1
 
 
 def test_a_swap_that_was_cut_off_is_put_back(spark, tmp_path, monkeypatch):
