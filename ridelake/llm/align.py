@@ -45,8 +45,16 @@ COUNTS_BYTES = 32 << 20  # of pair counts that are sent to all tasks; more are j
 _CUT = re.compile(rb"(?<=[\x21-\x7e\x80-\xbf])(?<!\xc2\x85)(?<!\xc2\xa0)(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) (?=.)", re.S)
 
 
-# Texts without this are cut at every space.
-_ODD = re.compile(rb"(?:\A|[\x00-\x20\x7f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80) | \Z")
+_CONTROLS = bytes([*range(0x20), 0x7F]).replace(b"\n", b"")
+# Ends of the multi-byte white space above, before a space; the first two bytes stand for many.
+_WIDE = (b"\xc2\x85 ", b"\xc2\xa0 ", b"\xe1\x9a\x80 ", b"\xe2\x80", b"\xe2\x81\x9f ", b"\xe3\x80\x80 ")
+
+
+def _cut_at_every_space(text: bytes) -> bool:
+    """Whether ``_CUT`` certainly cuts at all spaces of the text."""
+    if text[:1] == b" " or text[-1:] == b" " or b"  " in text or b"\n " in text or len(text.translate(None, _CONTROLS)) < len(text):
+        return False
+    return text.isascii() or not any(x in text for x in _WIDE)
 
 
 class Tokens(NamedTuple):
@@ -150,6 +158,7 @@ class Pair:
         level = [self.a.id_to_token(k) for k in range(self.a.get_vocab_size())]
         self.a_bytes = [t.encode() if k in special else bytes(byte[c] for c in t) for k, t in enumerate(level)]
         self.b_bytes = [self._piece(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
+        self.a_length, self.b_length = (np.array([len(x) for x in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
         ranks = {t: k for k, t in enumerate(self.a_bytes) if k not in special}
         self.fast = tiktoken.Encoding("A", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -158,11 +167,29 @@ class Pair:
         code = re.fullmatch("<0x([0-9A-F]{2})>", piece)
         return bytes([int(code[1], 16)]) if code else piece.replace("▁", " ").encode()
 
-    def encode(self, words: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B of each word."""
+    def encode(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: ids of all words one after the other, and how many each word has."""
         texts = [w.decode() for w in words]
-        ours = [self.fast.encode_ordinary(t) if len(w) <= self.USUAL else self.a.encode(t, add_special_tokens=False).ids for w, t in zip(words, texts)]
-        return ours, self.b.encode([t[1:] for t in texts], num_threads=1)
+        # words that begin with a space and end with another sign are cut off from each other by A's pattern: one call for all
+        together = np.array([len(w) <= self.USUAL and w[-1] > 0x20 and w[-1] < 0x7F for w in words], dtype=bool)
+        ids = np.array(self.fast.encode_ordinary("".join([t for t, x in zip(texts, together) if x])), dtype=np.int64)
+        ends = np.cumsum(self.a_length[ids])
+        word_ends = np.cumsum(np.array([len(w) for w in words], dtype=np.int64)[together])
+        at = np.searchsorted(ends, word_ends)
+        if len(word_ends) and not (ends[np.minimum(at, len(ends) - 1)] == word_ends).all():
+            raise AssertionError("a token of A reaches across a cut")
+        count = np.zeros(len(words), dtype=np.int64)
+        count[together] = np.diff(at + 1, prepend=0)
+        if not together.all():
+            alone = [k for k, x in enumerate(together.tolist()) if not x]
+            own = [self.fast.encode_ordinary(texts[k]) if len(words[k]) <= self.USUAL else self.a.encode(texts[k], add_special_tokens=False).ids for k in alone]
+            count[alone] = [len(x) for x in own]
+            flat = np.zeros(count.sum(), dtype=np.int64)
+            of = np.repeat(together, count)
+            flat[of], flat[~of] = ids, np.array(list(chain.from_iterable(own)), dtype=np.int64)
+            ids = flat
+        theirs = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return [(ids, count), (np.array(list(chain.from_iterable(theirs)), dtype=np.int64), np.fromiter(map(len, theirs), dtype=np.int64, count=len(theirs)))]
 
 
 @lru_cache(maxsize=1)
@@ -181,13 +208,14 @@ class Tokenizers(NamedTuple):
 
 
 def words(text: bytes) -> list[bytes]:
-    return [b" " + part for part in (_CUT.split(text) if _ODD.search(text) else text.split(b" "))]
+    return [b" " + part for part in (text.split(b" ") if _cut_at_every_space(text) else _CUT.split(text))]
 
 
 def token_runs(pair_: Pair, distinct: list[bytes]) -> list[Tokens | None]:
     """Tokens of each word, or None where the bytes of either side are not the word's."""
     out = []
-    for word, a, b in zip(distinct, *pair_.encode(distinct)):
+    each = [[x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] for ids, count in pair_.encode(distinct)] if distinct else [[], []]
+    for word, a, b in zip(distinct, *each):
         x, y = [pair_.a_bytes[k] for k in a], [pair_.b_bytes[k] for k in b]
         good = b"".join(x) == word and b"".join(y) == word and all(x) and all(y)
         out.append(Tokens(list(a), list(accumulate(map(len, x))), list(b), list(accumulate(map(len, y)))) if good else None)
@@ -215,7 +243,7 @@ class Words:
 
     def __init__(self, pair_: Pair):
         self.pair = pair_
-        self.length = [np.array([len(x) for x in table], dtype=np.int64) for table in (pair_.a_bytes, pair_.b_bytes)]
+        self.length = [pair_.a_length, pair_.b_length]
         names = [[str(k) for k in range(len(n))] for n in self.length]
         # an id and what follows it: another id of its side, the other side, another group, nothing
         self.named = [{end: np.array([n + end for n in side], dtype=object) for end in ends} for side, ends in zip(names, (",|", ",;"))]
@@ -231,18 +259,18 @@ class Words:
 
     def add(self, new: list[bytes]) -> None:
         sides = self.pair.encode(new)
-        size = np.array([len(w) for w in new], dtype=np.int64)
-        counts = [np.array([len(x) for x in side], dtype=np.int64) for side in sides]
+        size = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
+        counts, whole = [count for _, count in sides], b"".join(new)
         good = np.ones(len(new), dtype=bool)
-        for side, count, length, table in zip(sides, counts, self.length, (self.pair.a_bytes, self.pair.b_bytes)):
-            flat = np.array(list(chain.from_iterable(side)), dtype=np.int64)
+        for (flat, count), length, table in zip(sides, self.length, (self.pair.a_bytes, self.pair.b_bytes)):
             total = np.concatenate([[0], np.cumsum(length[flat])])
             ends = np.cumsum(count)
             good &= (total[ends] - total[ends - count] == size) & (np.bincount(np.repeat(np.arange(len(new)), count), length[flat] == 0, len(new)) == 0)
-            if b"".join([table[k] for k in flat]) != b"".join(new):
-                good &= np.array([b"".join([table[k] for k in ids]) == w for ids, w in zip(side, new)], dtype=bool)
+            given = list(map(table.__getitem__, flat.tolist()))
+            if b"".join(given) != whole:
+                good &= np.array([b"".join(given[e - n : e]) == w for e, n, w in zip(ends.tolist(), count.tolist(), new)], dtype=bool)
         at = np.flatnonzero(good)
-        ids = [np.array(list(chain.from_iterable([side[k] for k in at])), dtype=np.int64) for side in sides]
+        ids = [flat if len(at) == len(new) else flat[np.repeat(good, count)] for flat, count in sides]
         a_end, b_end = (np.cumsum(length[x]) for length, x in zip(self.length, ids))
         word_end = np.cumsum(size[at])
         both, every = np.intersect1d(a_end, b_end, assume_unique=True), np.union1d(a_end, b_end)
@@ -273,10 +301,10 @@ class Words:
     def numbers(self, docs: list[list[bytes]]) -> list[list[int]]:
         if len(self.texts) > KEPT_WORDS:
             self.clear()
-        new = list({w for doc in docs for w in doc if w not in self.number})
+        new = list(set(chain.from_iterable(docs)).difference(self.number))
         for at in range(0, len(new), 20_000):
             self.add(new[at : at + 20_000])
-        return [[self.number[w] for w in doc] for doc in docs]
+        return [list(map(self.number.__getitem__, doc)) for doc in docs]
 
     def forget_long(self) -> None:
         """Long words leave the table with their texts; they are rare, and a table of them could be of any size."""
@@ -289,13 +317,13 @@ def products(texts: list[list[bytes]], known: Words) -> dict[str, list]:
     numbers = known.numbers(texts)
     counts, begin = known.counts.all(), known.begin.all()
     n_words = np.array([len(x) for x in numbers], dtype=np.int64)
-    flat = np.array(list(chain.from_iterable(numbers)), dtype=np.int64)
+    flat = np.fromiter(chain.from_iterable(numbers), dtype=np.int64, count=int(n_words.sum()))
     doc = np.repeat(np.arange(len(texts)), n_words)
     good = n_words > 0
     good[doc[counts[flat, 0] < 0]] = False
     kept = good[doc]
     totals = np.stack([np.bincount(doc[kept], counts[flat[kept], k], len(texts)) for k in range(4)]).astype(np.int64)
-    joined = [";".join([known.texts[k] for k in x]) if ok else "" for x, ok in zip(numbers, good)]
+    joined = [";".join(map(known.texts.__getitem__, x)) if ok else "" for x, ok in zip(numbers, good)]
     # links of distinct words of a document, then of distinct pairs
     each, often = np.unique(doc[kept] << 32 | flat[kept], return_counts=True)
     word = each & 0xFFFFFFFF
