@@ -218,7 +218,7 @@ def rebuild_dimension(silver: DataFrame, gold: Publication, dim: Dimension) -> N
     gold.replace(dim.name, upsert_dimension(members_of(silver, dim), gold.read(dim.name), dim, mode="rebuild"))
 
 
-def stored_dimensions(spark: SparkSession, gold: Publication) -> tuple[dict[str, DataFrame], bool]:
+def stored_dimensions(spark: SparkSession, gold: Publication | VersionedTables) -> tuple[dict[str, DataFrame], bool]:
     """The keyed dimensions as lookup sides, and whether all of them are broadcast."""
     stored = {dim.name: gold.read(dim.name) for dim in KEYED}
     small = dict(zip(stored, together(spark, *[partial(fits, table) for table in stored.values()])))

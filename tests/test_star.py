@@ -141,7 +141,7 @@ def test_fact_build_shuffles_nothing(spark):
     root = fresh_path(spark, "lake")
     load(spark, root, *year_of(2024, "A", 2))
     lake.silver_to_gold(spark, root)
-    dims, all_broadcast = lake.stored_dimensions(spark, root)
+    dims, all_broadcast = lake.stored_dimensions(spark, lake.gold_tables(spark, root))
     plan = star.build_fact(lake.read_silver(spark, root), dims)._jdf.queryExecution().executedPlan().toString()
     assert all_broadcast and plan.count("BroadcastHashJoin") == 5
     assert "Exchange hashpartitioning" not in plan and "started_at" not in plan
