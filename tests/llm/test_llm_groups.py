@@ -211,7 +211,9 @@ def test_raked_marginals_hold(spark, monkeypatch):
 def test_mixing_keeps_rows_and_rates(spark):
     rows = [(k, " ".join(["w"] * (k % 50)), "en" if k % 3 else None, f"s{k % 4 % 3}") for k in range(4000)] + [(1, None, None, None), (1, None, None, None), (None, "x" * 50_000, "en", "s1")]
     docs = spark.createDataFrame([(*r, "m", 1.0) for r in rows], "doc_id long, text string, lang string, source string, mix string, rate double")
-    out = mixing.mix(docs).select("doc_id", "text", "mix.*").toPandas()
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "mix_"] and mixed.select("mix").distinct().first()[0] == "m"
+    out = mixed.select("doc_id", "text", "mix_.*").toPandas()
     assert len(out) == len(rows) and out["probability"].between(0, 1).all() and out["probability"].max() == pytest.approx(1.0)
     assert out["kept"].mean() == pytest.approx(out["probability"].mean(), abs=0.03)
     assert out[(out["doc_id"] == 1) & out["text"].isna()]["kept"].nunique() == 1
@@ -227,7 +229,7 @@ def test_mixing_keeps_rows_and_rates(spark):
 @pytest.fixture(scope="module")
 def engine(sf_dir):
     connection = duckdb.connect()
-    for name in ("pages", "documents"):
+    for name in ("pages", "documents", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return connection
 
