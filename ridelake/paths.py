@@ -21,6 +21,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
 
 
+def leaves(spark: SparkSession, base: str, depth: int, top: str = "") -> list[str]:
+    """Partition directories ``depth`` levels below ``base/top``, relative to ``base``."""
+    found = [top]
+    for _ in range(depth):
+        found = [f"{d}/{c}".lstrip("/") for d in found for c in children(spark, f"{base}/{d}") if "=" in c]
+    return found
+
+
+def usage(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files and bytes at or below ``path``."""
+    files, where = _at(spark, path)
+    summary = files.getContentSummary(where)
+    return summary.getFileCount(), summary.getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     files, where = _at(spark, path)
     stream = files.open(where)

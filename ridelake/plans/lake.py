@@ -29,7 +29,8 @@ from ridelake.plans.star import (
 from ridelake.rules import SILVER, RuleSet
 from ridelake.session import materialise, scratch, together
 from ridelake.sinks.catalog import GOLD_TABLES
-from ridelake.sinks.layers import append_rows, drop_partitions, refresh, write_partitioned
+from ridelake.sinks.files import FILE_BYTES, Held, listed, placed, untidy
+from ridelake.sinks.layers import append_rows, drop_partitions, refresh, write_layer, write_partitioned
 from ridelake.sinks.versions import Publication, VersionedTables
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_or_empty
@@ -40,6 +41,7 @@ BY_MONTH = ["year", "month"]
 # The Silver load that streamed rows are stored under.
 ARRIVALS = "arrivals"
 _MONTHS = "year int, month int"
+SLACK = 4  # files a batch load may leave for each one that its bytes fill
 FILTER_FILES = 8  # at most, that one write of filters adds
 
 
@@ -188,12 +190,14 @@ def raw_to_silver(
     year: int,
     rules: RuleSet = SILVER,
     weather_date_format: str = "dd-MM-yyyy",
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """One year of raw CSV below ``root`` into the Silver layer.
 
-    Raw files hold one month each and a scan task reads from one file, so the
-    rows are written where they are read, without a shuffle; the size of a scan
-    task (``spark.sql.files.maxPartitionBytes``) is what sets the file size.
+    Raw files should hold one month each; a scan task reads from one file, so the
+    rows are written where they are read, without a shuffle. What that leaves is
+    listed: a month with over ``SLACK`` times the files it fills, as when one raw
+    file holds a whole year, is written again, placed by size. A run stopped meanwhile is to be repeated.
     """
     layout = Layout(root)
     trips = cast_trips(read_trips(spark, layout.raw_trips(year)))
@@ -201,6 +205,7 @@ def raw_to_silver(
     with scratch(spark):
         weather = sized(materialise(daily, "weather"))
         write_silver(trips, weather, root, str(year), rules, [year], clustered=True)
+        tidy_silver(spark, root, str(year), file_bytes=file_bytes, slack=SLACK)
 
 
 def grow_dimension(silver: DataFrame, gold: Publication, dim: Dimension) -> None:
@@ -325,20 +330,68 @@ def refresh_weather(spark: SparkSession, root: str, daily: DataFrame, rules: Rul
     return months
 
 
-def compact(spark: SparkSession, root: str, months: list[tuple[int, int]], files: int = 1) -> None:
-    """Rewrite the arrivals and the fact of some months into few files each.
+def tidy_silver(
+    spark: SparkSession,
+    root: str,
+    load: str,
+    months: list[tuple[int, int]] | None = None,
+    file_bytes: int = FILE_BYTES,
+    slack: float = 1,
+) -> list[tuple[int, int]]:
+    """Rewrite the months of a load whose files are too many or too large for their bytes; returns them.
 
-    Every streamed batch appends a file per month. ``files`` bounds the files of
-    a month; the default suits months below the size of one file.
+    Sizes come from the store's listing, so a tidy load costs no read. The rows stay the same and nothing has to follow.
     """
-    path, gold = Layout(root).silver(ARRIVALS), gold_tables(spark, root).begin()
+    path = Layout(root).silver(load)
+    held = _of_months(listed(spark, path, BY_MONTH), months)
+    bad = untidy(held, file_bytes, slack)
+    found = sorted((int(year), int(month)) for year, month in bad)
+    if found:
+        rows = materialise(read_or_empty(spark, path, schemas.SILVER).filter(in_months(found)), "tidy")
+        write_partitioned(placed(rows, BY_MONTH, bad, file_bytes), path, BY_MONTH, clustered=True)
+        refresh(spark, Layout(root).silver())
+    return found
 
-    def salted(rows: DataFrame) -> DataFrame:
-        return rows.repartition(max(1, len(months) * files), *BY_MONTH, F.floor(F.rand(7) * files))
 
+def _of_months(held: dict, months: list[tuple[int, int]] | None) -> dict:
+    return held if months is None else {k: h for k, h in held.items() if (int(k[0]), int(k[1])) in set(months)}
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    months: list[tuple[int, int]] | None = None,
+    file_bytes: int = FILE_BYTES,
+    slack: float = 1,
+) -> dict[str, list[tuple[int, int]]]:
+    """Give the months of every load and of the fact as many files as their bytes fill; returns what was rewritten.
+
+    Every streamed batch appends a file per month, and a batch load whose raw
+    files mix months leaves one for each task and month. Months that are well packed stay as they are.
+    """
+    layout, tables = Layout(root), gold_tables(spark, root)
+    loads = [c.split("=", 1)[1] for c in paths.children(spark, layout.silver()) if c.startswith("load=")]
     with scratch(spark):
-        rows = materialise(read_or_empty(spark, path, schemas.SILVER).filter(in_months(months)), "compact")
-        write_partitioned(salted(rows), path, BY_MONTH, clustered=True)
-        refresh(spark, path)
-        gold.replace("fact_trips", salted(gold.read("fact_trips").filter(in_months(months))), months, clustered=True)
-        gold.publish()
+        done = {load: tidy_silver(spark, root, load, months, file_bytes, slack) for load in loads}
+        gold = tables.begin()
+        stored = gold.now.tables.get("fact_trips", [])
+        bad = untidy(_of_months(listed(spark, layout.fact, BY_MONTH, stored), months), file_bytes, slack)
+        done["fact_trips"] = sorted((int(year), int(month)) for year, month in bad)
+        if bad:
+            rows = gold.read("fact_trips").filter(in_months(done["fact_trips"]))
+            gold.replace("fact_trips", placed(rows, BY_MONTH, bad, file_bytes), done["fact_trips"], clustered=True)
+            gold.publish()
+    return done
+
+
+def export_silver(spark: SparkSession, root: str, path: str, loads: Iterable[str] | None = None, file_bytes: int = FILE_BYTES) -> int:
+    """Silver as one table without partitions, in at most as many files as its listed bytes fill; returns that bound.
+
+    Scan tasks are merged, not shuffled, so each file holds neighbouring months.
+    """
+    layout = Layout(root)
+    named = [c.split("=", 1)[1] for c in paths.children(spark, layout.silver()) if c.startswith("load=")] if loads is None else list(loads)
+    size = sum(paths.usage(spark, layout.silver(load))[1] for load in named)
+    most = Held(bytes=size).wanted(file_bytes)
+    write_layer(read_silver(spark, root, named), path, max_files=most)
+    return most

@@ -12,8 +12,8 @@ from ridelake import paths
 def write_layer(df: DataFrame, path: str, *, max_files: int | None = None) -> None:
     """Replace an unpartitioned layer.
 
-    By default output files follow the advisory partition size (no fixed count
-    survives growth); ``max_files`` bounds the count for small layers.
+    By default output files follow the advisory partition size. ``max_files``
+    bounds the count without a shuffle; take it from measured sizes, as no fixed count survives growth.
     """
     sized = df.coalesce(max_files) if max_files else df.hint("rebalance")
     sized.write.mode("overwrite").option("compression", "snappy").parquet(path)

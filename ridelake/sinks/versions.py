@@ -79,7 +79,7 @@ class VersionedTables:
         gone = 0
         for name, (_, by) in self.kinds.items():
             for top in paths.children(self.spark, self.folders[name]):
-                found = _leaves(self.spark, self.folders[name], top, len(by))
+                found = paths.leaves(self.spark, self.folders[name], len(by), top)
                 dead = [d for d in found if d not in live[name]]
                 for d in [top] if len(dead) == len(found) else dead:
                     paths.remove(self.spark, f"{self.folders[name]}/{d}")
@@ -87,13 +87,6 @@ class VersionedTables:
         return gone
 
 
-def _leaves(spark: SparkSession, base: str, top: str, depth: int) -> list[str]:
-    found = [top]
-    for _ in range(depth):
-        found = [f"{d}/{c}" for d in found for c in paths.children(spark, f"{base}/{d}") if "=" in c]
-    return found
-
-
 class Publication:
     """New rows for some tables, visible to others all together once ``publish`` returns."""
 
@@ -114,7 +107,7 @@ class Publication:
             write_partitioned(rows, f"{base}/{top}", list(by), mode="errorifexists", clustered=clustered)
         else:
             rows.write.mode("errorifexists").option("compression", "snappy").parquet(f"{base}/{top}")
-        return _leaves(self.of.spark, base, top, len(by))
+        return paths.leaves(self.of.spark, base, len(by), top)
 
     def add(self, name: str, rows: DataFrame, *, clustered: bool = False) -> None:
         new = self._write(name, rows, clustered)
