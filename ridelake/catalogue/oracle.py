@@ -696,7 +696,7 @@ ORACLE["lake_corrected_load"] = _silver(f"{_FACT_TEXTS} WHERE year(started_at) <
 ORACLE["lake_stream_then_batch"] = _sql([*_EVENTS, _CLEAN_WEATHER, _SILVER], _FACT_TEXTS)
 ORACLE["lake_batch_then_stream"] = ORACLE["lake_stream_then_batch"]
 _RENAMED = ORDER_TRIPS.replace("), trips AS (", "), plain AS (") + """, trips AS (
-  SELECT * REPLACE (CASE WHEN year(started_at) >= 1994 THEN 'New ' || start_station_name
+  SELECT * REPLACE (CASE WHEN year(started_at) >= 1998 THEN 'New ' || start_station_name
                          ELSE start_station_name END AS start_station_name) FROM plain)"""
 ORACLE["dim_station_renamed"] = _sql(
     [_RENAMED, ORDER_DAYS, WEATHER, _CLEAN_WEATHER, _SILVER, _GOLD],
@@ -741,8 +741,8 @@ ORACLE["lake_moved_rides"] = ORACLE["stream_two_drops"].replace(
 )
 ORACLE["lake_moved_rides_stream_first"] = ORACLE["lake_moved_rides"]
 
-# States after three loads: all of Silver but 1993.
-_KEPT = "kept AS (SELECT * FROM silver WHERE year <> 1993)"
+# States after three loads: all of Silver but 1996.
+_KEPT = "kept AS (SELECT * FROM silver WHERE year <> 1996)"
 
 
 def _kept(query: str) -> str:
@@ -769,3 +769,13 @@ ORACLE["distinct_by_sketch"] = _kept("SELECT year, month, count(DISTINCT ride_id
 ORACLE["duration_quantiles_by_sketch"] = _kept(
     "SELECT (SELECT count(*) FROM kept) AS trips, share, TRUE AS near FROM (VALUES (0.01E0), (0.25E0), (0.5E0), (0.75E0), (0.99E0)) v(share)"
 )
+
+ORACLE["silver_export"] = ORACLE["silver_trips"]
+ORACLE["lake_compacted"] = ORACLE["lake_two_years"]
+ORACLE["catalog_drift"] = _silver(
+    """SELECT year, month, count(*) AS trips, CAST(sum(start_hour) AS BIGINT) AS hours,
+       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS BIGINT) AS distance_cm,
+       count(CASE WHEN year <= 1998 THEN weekend END) AS with_weekend,
+       count(CASE WHEN year >= 1997 THEN is_rush_hour END) AS with_rush_hour, 'weekend' AS retired
+       FROM silver GROUP BY year, month"""
+)

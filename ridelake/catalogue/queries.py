@@ -31,6 +31,8 @@ from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star, states, variants
 from ridelake.plans.lake import (
     BY_MONTH,
+    compact,
+    export_silver,
     gold_tables,
     read_gold,
     raw_to_silver,
@@ -42,7 +44,7 @@ from ridelake.plans.lake import (
 )
 from ridelake.rules import RAIN_SILVER, SILVER, TEMP_FAHRENHEIT, TEMP_NOTEBOOK, WIND
 from ridelake.session import fresh_path, materialise
-from ridelake.sinks.catalog import register_gold
+from ridelake.sinks.catalog import crawl, register_gold, retired_columns
 from ridelake.sinks.layers import append_rows, write_partitioned
 from ridelake.sources.layout import Layout
 from ridelake.sources.tables import read_layer, read_or_empty, sql_over_path, typed_view
@@ -478,6 +480,51 @@ def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations of files under one table: types grow, a column comes, a column goes; every row is still read."""
+    path = fresh_path(spark, "drifting")
+    table = "drifting_" + path.rsplit("-", 1)[-1]
+    facts = read_gold(spark, lake(spark, sf_dir))["fact_trips"]
+    year, hour, far = F.col("year"), F.col("start_hour"), F.col("trip_distance")
+    generations = (
+        (year <= 1996, [hour.cast("smallint").alias("start_hour"), far.cast("float").alias("trip_distance"), "weekend"]),
+        (year.between(1997, 1998), [hour.cast("int").alias("start_hour"), far, "weekend", "is_rush_hour"]),
+        (year >= 1999, [hour.cast("bigint").alias("start_hour"), far, "is_rush_hour"]),
+    )
+    for which, columns in generations:
+        write_partitioned(facts.filter(which).select("ride_id", *columns, *BY_MONTH), path, BY_MONTH)
+        crawl(spark, table, path, T.StructType.fromDDL("year int, month int"))
+    return spark.table(table).groupBy("year", "month").agg(
+        F.count("ride_id").alias("trips"),
+        F.sum("start_hour").alias("hours"),
+        F.sum(F.round(far * 100).cast("bigint")).alias("distance_cm"),
+        F.count("weekend").alias("with_weekend"),
+        F.count("is_rush_hour").alias("with_rush_hour"),
+    ).withColumn("retired", F.lit(",".join(retired_columns(spark, table))))
+
+
+def silver_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as one table without partitions, its files bounded by its size."""
+    path = fresh_path(spark, "export")
+    export_silver(spark, lake(spark, sf_dir), path)
+    return as_text(read_layer(spark, path))
+
+
+def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that meet in some months, scattered over many files and then packed by size, with the fact built between."""
+    root = fresh_path(spark, "compacted")
+    trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
+    odd = F.col("ride_id").cast("long") % 2 == 1
+    for load, rows in (("even", trips.filter(~odd)), ("odd", trips.filter(odd))):
+        write_silver(rows.repartition(4), daily, root, load, clustered=True)
+    silver_to_gold(spark, root)
+    compact(spark, root)
+    counts = silver_to_gold(spark, root, ["odd"])
+    if counts["silver_rows"] != counts["fact_rows"]:
+        raise RuntimeError(f"fact does not match Silver: {counts}")
+    return fact_with_texts(spark, root)
+
+
 # -- arrivals -------------------------------------------------------------
 
 
@@ -542,8 +589,8 @@ def _states_after_three_loads(spark: SparkSession, sf_dir: str) -> str:
     """A lake whose states follow three loads: two that meet in a month, and the first one again without a year."""
     root = fresh_path(spark, "states")
     trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
-    early = (F.year("started_at") < 1995) | ((F.year("started_at") == 1995) & (F.col("ride_id").cast("long") % 2 == 0))
-    for load, rows in (("early", trips.filter(early)), ("late", trips.filter(~early)), ("early", trips.filter(early & (F.year("started_at") != 1993)))):
+    early = (F.year("started_at") < 1998) | ((F.year("started_at") == 1998) & (F.col("ride_id").cast("long") % 2 == 0))
+    for load, rows in (("early", trips.filter(early)), ("late", trips.filter(~early)), ("early", trips.filter(early & (F.year("started_at") != 1996)))):
         write_silver(rows, daily, root, load)
         states.refresh_states(spark, root)
     return root
@@ -659,7 +706,7 @@ def dim_station_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations after a second load under other names and a renaming over both."""
     root = fresh_path(spark, "renamed")
     trips, daily = typed_trips(spark, sf_dir), daily_weather(spark, sf_dir)
-    early = F.year("started_at") < 1994
+    early = F.year("started_at") < 1998
     renamed = trips.filter(~early).withColumn("start_station_name", F.concat(F.lit("New "), "start_station_name"))
     for load, rows in (("early", trips.filter(early)), ("late", renamed)):
         write_silver(rows, daily, root, load)
@@ -780,6 +827,9 @@ QUERIES: dict[str, Query] = {
     "season_layer": season_layer,
     "missing_layer": missing_layer,
     "gold_catalog": gold_catalog,
+    "catalog_drift": catalog_drift,
+    "silver_export": silver_export,
+    "lake_compacted": lake_compacted,
     "stream_two_drops": stream_two_drops,
     "lake_two_years": lake_two_years,
     "lake_corrected_load": lake_corrected_load,
