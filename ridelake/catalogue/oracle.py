@@ -779,3 +779,7 @@ ORACLE["catalog_drift"] = _silver(
        count(CASE WHEN year >= 1997 THEN is_rush_hour END) AS with_rush_hour, 'weekend' AS retired
        FROM silver GROUP BY year, month"""
 )
+_END = """SELECT '{0}' AS role, d.station_id, d.station_name, count(*) AS trips,
+       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS BIGINT) AS distance_cents
+       FROM silver s JOIN dim_station d ON s.{0}_station_id = d.station_id GROUP BY 2, 3"""
+ORACLE["station_ends_colocated"] = _sql([*_ORDERS, _CLEAN_WEATHER, _SILVER, _GOLD], f"{_END.format('start')} UNION ALL {_END.format('end')}")

@@ -27,6 +27,7 @@ from ridelake.functions import geo
 from ridelake.functions.bands import banded
 from ridelake.functions.weather import event_flags
 from ridelake.operators import clean
+from ridelake.operators.colocated import colocated_lookup, store_colocated
 from ridelake.operators.lookup import left_lookup, sized
 from ridelake.plans import demand, impact, indicators, profile, silver, star, states, variants
 from ridelake.plans.lake import (
@@ -503,6 +504,19 @@ def catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("retired", F.lit(",".join(retired_columns(spark, table))))
 
 
+def station_ends_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and distance by either end's station, looked up in tables that share its buckets, as for a dimension beyond broadcast."""
+    gold, parts = read_gold(spark, lake(spark, sf_dir)), []
+    for role in ("start", "end"):
+        path, key = fresh_path(spark, f"{role}-buckets"), f"{role}_station_key"
+        names = [f"{role}_{kind}_{path.rsplit('-', 1)[-1]}" for kind in ("trips", "stations")]
+        store_colocated(gold["fact_trips"].select(key, "trip_distance"), gold["dim_station"].withColumnRenamed("station_key", key), key, *names, path, buckets=16)
+        found = colocated_lookup(spark, key, *names).groupBy("station_id", "station_name")
+        cents = F.sum(F.round(F.col("trip_distance") * 100).cast("bigint"))
+        parts.append(found.agg(F.count(F.lit(1)).alias("trips"), cents.alias("distance_cents")).withColumn("role", F.lit(role)))
+    return parts[0].unionByName(parts[1])
+
+
 def silver_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as one table without partitions, its files bounded by its size."""
     path = fresh_path(spark, "export")
@@ -828,6 +842,7 @@ QUERIES: dict[str, Query] = {
     "missing_layer": missing_layer,
     "gold_catalog": gold_catalog,
     "catalog_drift": catalog_drift,
+    "station_ends_colocated": station_ends_colocated,
     "silver_export": silver_export,
     "lake_compacted": lake_compacted,
     "stream_two_drops": stream_two_drops,
