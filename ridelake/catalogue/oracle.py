@@ -783,3 +783,15 @@ _END = """SELECT '{0}' AS role, d.station_id, d.station_name, count(*) AS trips,
        CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS BIGINT) AS distance_cents
        FROM silver s JOIN dim_station d ON s.{0}_station_id = d.station_id GROUP BY 2, 3"""
 ORACLE["station_ends_colocated"] = _sql([*_ORDERS, _CLEAN_WEATHER, _SILVER, _GOLD], f"{_END.format('start')} UNION ALL {_END.format('end')}")
+ORACLE["fact_unknown_members"] = _sql(
+    [*_ORDERS, _CLEAN_WEATHER, _SILVER],
+    """SELECT temp_category = 'Unknown' AS unknown, temp_category, count(*) AS trips, count(known) AS with_temperature FROM (
+         SELECT CASE WHEN w.temp <> 999.9 THEN w.temp END AS known,
+                CASE WHEN w.temp >= 75 AND w.temp <> 999.9 THEN 'Warm' WHEN w.temp >= 55 AND w.temp <> 999.9 THEN 'Moderate'
+                     WHEN w.temp <> 999.9 THEN 'Cool' ELSE 'Unknown' END AS temp_category
+         FROM silver s LEFT JOIN weather w ON s.trip_date = w.trip_date) GROUP BY temp_category""",
+)
+_DRAWN = ORDER_TRIPS.replace("), trips AS (", "), plain AS (") + """, trips AS (
+  SELECT * REPLACE (CASE WHEN CAST(ride_id AS BIGINT) % 2 = 0 THEN 'HUB' ELSE end_station_id END AS end_station_id,
+                    CASE WHEN CAST(ride_id AS BIGINT) % 4 = 1 THEN 'DEPOT' ELSE start_station_id END AS start_station_id) FROM plain)"""
+ORACLE["imbalance_of_hubs"] = _sql([_DRAWN, _KNOWN_FLOWS, _CATEGORISED], "SELECT * FROM categorised")

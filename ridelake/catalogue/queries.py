@@ -504,6 +504,26 @@ def catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("retired", F.lit(",".join(retired_columns(spark, table))))
 
 
+def fact_unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake whose trips without a temperature have no category: the fact has them under key -1."""
+    root = fresh_path(spark, "unknown-members")
+    rules = replace(SILVER, unknown_weather=True, sentinel_value=None)
+    write_silver(typed_trips(spark, sf_dir), daily_weather(spark, sf_dir), root, "all", rules)
+    silver_to_gold(spark, root)
+    gold = read_gold(spark, root)
+    named = left_lookup(gold["fact_trips"], sized(gold["dim_temperature"]), "temp_key")
+    return named.groupBy((F.col("temp_key") == star.UNKNOWN_KEY).alias("unknown"), "temp_category").agg(
+        F.count(F.lit(1)).alias("trips"), F.count("temperature").alias("with_temperature")
+    )
+
+
+def imbalance_of_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories where one station takes half of all arrivals and another a quarter of the departures, so that both ends occur."""
+    trips, number = order_trips(spark, sf_dir), F.col("ride_id").cast("long")
+    drawn = {"end_station_id": F.when(number % 2 == 0, "HUB"), "start_station_id": F.when(number % 4 == 1, "DEPOT")}
+    return as_text(demand.classified_imbalance(trips.withColumns({c: F.coalesce(to, F.col(c)) for c, to in drawn.items()})))
+
+
 def station_ends_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips and distance by either end's station, looked up in tables that share its buckets, as for a dimension beyond broadcast."""
     gold, parts = read_gold(spark, lake(spark, sf_dir)), []
@@ -842,6 +862,8 @@ QUERIES: dict[str, Query] = {
     "missing_layer": missing_layer,
     "gold_catalog": gold_catalog,
     "catalog_drift": catalog_drift,
+    "fact_unknown_members": fact_unknown_members,
+    "imbalance_of_hubs": imbalance_of_hubs,
     "station_ends_colocated": station_ends_colocated,
     "silver_export": silver_export,
     "lake_compacted": lake_compacted,
