@@ -70,13 +70,12 @@ def moments(silver: DataFrame, columns: list[str] | tuple[str, ...] = MOMENT_COL
     by = BY_MONTH if by is None else by
     pairs = _pairs(list(columns))
     numbers = silver.select(*by, *[F.col(c).cast("double").alias(f"_{c}") for c in columns])
-
-    def state(a: str, b: str) -> Column:
-        y, x = F.col(f"_{b}"), F.col(f"_{a}")
-        parts = {"n": F.regr_count, "mean_x": F.regr_avgx, "mean_y": F.regr_avgy, "sxx": F.regr_sxx, "syy": F.regr_syy, "sxy": F.regr_sxy}
-        return F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), *[f(y, x).alias(name) for name, f in parts.items()])
-
-    return numbers.groupBy(*by).agg(F.array(*[state(a, b) for a, b in pairs]).alias("states")).select(*by, F.inline("states"))
+    # a row for each pair: six aggregates are compiled, where six for every pair in one row would be interpreted
+    each = F.array(*[F.struct(F.lit(k).alias("_pair"), F.col(f"_{a}").alias("_left"), F.col(f"_{b}").alias("_right")) for k, (a, b) in enumerate(pairs)])
+    parts = {"n": F.regr_count, "mean_x": F.regr_avgx, "mean_y": F.regr_avgy, "sxx": F.regr_sxx, "syy": F.regr_syy, "sxy": F.regr_sxy}
+    states = numbers.select(*by, F.inline(each)).groupBy(*by, "_pair").agg(*[f("_right", "_left").alias(name) for name, f in parts.items()])
+    named = [F.get(F.array(*[F.lit(pair[side]) for pair in pairs]), F.col("_pair")).alias(name) for side, name in enumerate("xy")]
+    return states.select(*by, *named, *parts)
 
 
 def merged_moments(states: DataFrame, by: list[str]) -> DataFrame:

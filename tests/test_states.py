@@ -93,3 +93,11 @@ def test_nothing_stored(spark):
     root = fresh_path(spark, "none")
     assert states.station_imbalance(spark, root).count() == states.duration_histogram(spark, root, 4).count() == 0
     assert states.correlations(states.read_states(spark, root, "moments")).count() == 0
+
+
+def test_moments_aggregate_pairs_as_rows(spark):
+    silver = materialise(spark.range(4).selectExpr("2024 year", "1 month", *[f"double(id * {k}) c{k}" for k in range(6)]), "pairs")
+    found = states.moments(silver, [f"c{k}" for k in range(6)])
+    # six aggregates however many pairs; more would be too large to be compiled
+    assert found._jdf.queryExecution().executedPlan().toString().count("partial_") <= 12
+    assert found.count() == 21 and rows(found.where("x = 'c1' and y = 'c2'"), "n", "sxy") == [(4, 10.0)]
