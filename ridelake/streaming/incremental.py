@@ -71,12 +71,14 @@ def _load_batch(raw: DataFrame, daily: DataFrame, root: str, rules: RuleSet) ->
     if held is not None:
         fresh = materialise(batch.join(sized(held.select("ride_id").distinct()), "ride_id", "left_anti"), "fresh")
         # what an earlier run of this batch stored but did not carry to the fact; a ride that Silver has in another month stays there
-        own = materialise(batch.join(sized(held), ["ride_id", *BY_MONTH], "left_semi"), "stored-before")
+        own = materialise(batch.select("ride_id", *BY_MONTH).join(sized(held), ["ride_id", *BY_MONTH], "left_semi"), "stored-before")
         if months := months_of(own):
             # the month's ids meet the few of ``own`` in the scan, before anything is shuffled
             posted = gold.read("fact_trips").filter(in_months(months)).select("ride_id")
             posted = posted.join(sized(own.select("ride_id").distinct()), "ride_id", "left_semi")
-            unposted = own.join(posted, "ride_id", "left_anti")
+            missing = materialise(own.join(posted, "ride_id", "left_anti"), "unposted-ids")
+            if not missing.isEmpty():
+                unposted = batch.join(sized(missing), ["ride_id", *BY_MONTH], "left_semi")
     ours = fresh if unposted is None else materialise(fresh.unionByName(unposted), "unposted")
     # A batch spans few months; each names one partition of the stored layers.
     months = sorted(months_of(ours))
