@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ridelake import paths
 
 FILE_BYTES = 256 * 1024 * 1024
+SHARED_BYTES = 32 * 1024 * 1024  # of small partitions that share a task, which sorts their rows uncompressed
 _NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: how a directory names a null
 
 Key = tuple[str, ...]
@@ -59,13 +60,14 @@ def assign(sizes: dict[Key, int], target: int = FILE_BYTES) -> tuple[dict[Key, t
     """(first task, number of tasks) of each partition, and how many tasks there are.
 
     Partitions over ``target`` get tasks of their own. The others are packed into
-    shared ones by best fit, the largest first, so that no shared task exceeds it.
+    shared ones by best fit, the largest first, so that no shared task exceeds it or ``SHARED_BYTES``.
     """
+    shared = min(target, SHARED_BYTES)
     where: dict[Key, tuple[int, int]] = {}
     room: list[tuple[int, int]] = []  # (free bytes, task), in order
     tasks = 0
     for key, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
-        if size > target:
+        if size > shared:
             where[key] = (tasks, ceil(size / target))
             tasks += where[key][1]
             continue
@@ -73,7 +75,7 @@ def assign(sizes: dict[Key, int], target: int = FILE_BYTES) -> tuple[dict[Key, t
         if at < len(room):
             free, task = room.pop(at)
         else:
-            free, task, tasks = target, tasks, tasks + 1
+            free, task, tasks = shared, tasks, tasks + 1
         where[key] = (task, 1)
         insort(room, (free - size, task))
     return where, tasks

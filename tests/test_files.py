@@ -116,3 +116,11 @@ def test_compaction_covers_all_loads(spark):
     out = fresh_path(spark, "export")
     assert lake.export_silver(spark, root, out) == 1 and spark.read.parquet(out).count() == 80
     assert sum(c.endswith(".parquet") for c in paths.children(spark, out)) == 1
+
+
+def test_a_shared_task_sorts_a_bounded_share():
+    sizes = {(str(k),): 20 << 20 for k in range(8)}
+    where, tasks = files.assign(sizes)
+    # each has one file, and none shares its task: two would be more than a task should sort at once
+    assert tasks == 8 and all(n == 1 for _, n in where.values())
+    assert files.assign({("a",): 300 << 20, ("b",): 10 << 20, ("c",): 20 << 20})[1] == 3
