@@ -131,7 +131,9 @@ def read_zip_records(spark: SparkSession, path: str) -> DataFrame:
 def by_header(rows: DataFrame, names: list[str]) -> DataFrame:
     """``source`` and the named text columns of records, found by each member's own header; a member that lacks one is an error."""
     wide = ", ".join(f"c{k} string" for k in range(WIDEST))
-    parsed = rows.withColumn("values", F.from_csv("record", wide, _CSV))
+    # a record with fewer values than columns costs the parser an exception, so that the missing ones are written out
+    padded = F.concat("record", F.repeat(F.lit(","), F.lit(WIDEST) - F.size("header")))
+    parsed = rows.withColumn("values", F.from_csv(padded, wide, _CSV))
     listed = parsed.withColumn("values", F.array(*[F.col(f"values.c{k}") for k in range(WIDEST)]))
 
     def value(name: str) -> Column:

@@ -8,6 +8,8 @@ import pytest
 from helpers import TRIP, rows
 
 from ridelake import schemas
+from ridelake.catalogue import queries
+from ridelake.operators import clean
 from ridelake.sources import zips
 from ridelake.sources.trips import read_trip_archives, read_trip_zips
 from ridelake.sources.zips import read_zip_records
@@ -79,3 +81,18 @@ def test_records_follow_quotes():
 def test_plan_parses_values_in_spark(spark, folder):
     plan = read_trip_zips(spark, str(folder)).select("ride_id")._jdf.queryExecution().executedPlan().toString()
     assert "from_csv" in plan and "MapInArrow" not in plan and "MapInPandas" not in plan
+
+
+def test_archives_follow_the_trips(spark, sf_dir, monkeypatch):
+    whole = queries.zip_members(spark, sf_dir)
+    monkeypatch.setattr(queries, "ARCHIVED", 300)
+    folder = queries._zipped(spark, sf_dir)
+    assert read_trip_zips(spark, folder).rdd.getNumPartitions() >= 16
+    assert rows(clean.typed(read_trip_zips(spark, folder), schemas.TYPED_TRIPS).select("ride_id")) == rows(whole.select("ride_id"))
+
+
+def test_short_and_long_records_keep_their_values(spark, tmp_path):
+    lines = [",".join(HEADER), "1,type", ",".join(["2", *"abcdefghijkl", "too", "many"]), ",".join(["3", *"abcdefghijk", '"quoted, last"'])]
+    archive(tmp_path / "odd.zip", {"odd.csv": "\n".join(lines) + "\n"})
+    read = read_trip_zips(spark, str(tmp_path))
+    assert rows(read, HEADER[0], HEADER[1], HEADER[-1]) == [("1", "type", None), ("2", "a", "l"), ("3", "a", "quoted, last")]
