@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import jaccard, langid, mixing, packing, pii
-from ridelake.llm.common import table, without
+from ridelake.llm.common import small_batches, table, without
 from ridelake.session import materialise
 
 PII_KEY = b"replace this key in production"
@@ -32,6 +32,7 @@ def with_any_names(stage: Callable) -> Callable:
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
         plain = docs.toDF(*(c if c in COLUMNS else f"carried_{k}" for k, c in enumerate(docs.columns)))
         return stage(spark, plain, sf_dir).toDF(*docs.columns)
 

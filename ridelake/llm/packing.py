@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import sliced, tidily, words_of
+from ridelake.llm.common import sliced, small_batches, tidily, words_of
 from ridelake.session import materialise
 
 SEQUENCE = 4096  # tokens
@@ -27,6 +27,7 @@ UNIT = 8  # tokens that lengths are rounded up to
 DEPTH = 3  # documents in a pattern
 SHORT_WEIGHT = 0.1  # of lengths under 1/16 of a sequence in the fit: they can fill gaps later
 CACHED = 800_000  # distinct words whose tokens a task keeps
+TEXT_BYTES = 512 << 10  # of text that are split into words at a time; the arrays for it take some 50 times as much
 
 _SAFE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The tokenizer's own splitting pattern (a fixed value of its file), for these letters in lower case.
@@ -116,12 +117,13 @@ def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text"
     are empty: one piece, the end id alone. Repeated rows are documents of their own. ``part`` and ``nth``
     number the pieces of one rounded length within a task; store the result before they are used.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
     def pieces(batches):
         tokens, part, seen = _loaded(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", TEXT_BYTES):
             which, out, ids_out = [], [], []
             flat, begin = tokens.encode(batch.column("text"))
             for k in range(batch.num_rows):

@@ -1,9 +1,12 @@
 """The pipeline as registered: the given table, a doubled one, an empty one, and columns with any names."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ridelake.llm import packing
+from ridelake.llm.common import BATCH_BYTES
 from ridelake.llm.queries import QUERIES
 
 
@@ -55,3 +58,20 @@ def test_stages_keep_columns_of_any_names(spark, documents):
         values = {tuple(r[len(documents.columns) :]) for r in out.collect()}
         assert values <= {tuple(range(len(odd)))}, name
     assert corpus_pipeline.sequences(spark, docs, "").count() >= 60
+
+
+@pytest.mark.parametrize("step", [lambda spark, docs: corpus_pipeline.language(spark, docs, ""), lambda spark, docs: packing.cut(docs, "unused")])
+def test_stages_bound_the_batches_of_their_tasks(spark, step):
+    fresh = spark.newSession()  # what other tests set is not there
+    docs = fresh.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab c "), 200_000).alias("text"), F.lit("en").alias("lang"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    step(fresh, docs)
+    found = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 40 and max(r["size"] for r in found) <= BATCH_BYTES + 1_100_000
+    fresh.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
+    step(fresh, docs)
+    assert fresh.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 20)
